@@ -15,8 +15,6 @@ from sluiceway.operators.aggregates import exact_percentile, with_share_of_total
 from sluiceway.operators.joins import broadcast_if_small, top_cross_totals
 from sluiceway.operators.ranking import top
 
-ROWS = F.lit(1)
-
 
 def cents(column: Column) -> Column:
     return F.round(column, 2)
@@ -70,7 +68,7 @@ def best_converting(products: DataFrame, k: int = 10) -> DataFrame:
 
 def category_performance(products: DataFrame) -> DataFrame:
     totals = products.groupBy("category").agg(
-        F.count(ROWS).alias("num_products"),
+        F.count(F.lit(1)).alias("num_products"),
         cents(F.sum("total_revenue")).alias("category_revenue"),
         F.round(F.avg("click_to_cart_rate"), 4).alias("avg_conversion"),
     )
@@ -145,7 +143,7 @@ def lifetime_value(daily: DataFrame) -> DataFrame:
 
 def product_mix(products: DataFrame) -> DataFrame:
     totals = products.groupBy("category").agg(
-        F.count(ROWS).alias("products"),
+        F.count(F.lit(1)).alias("products"),
         F.sum("total_revenue").alias("revenue"),
         F.round(F.avg("cart_to_purchase_rate"), 4).alias("avg_conversion"),
     )
