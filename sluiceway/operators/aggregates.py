@@ -72,6 +72,9 @@ def exact_percentile(
     counted, rows above it are dropped from the count, and equal values are one row before the
     shuffle; the final window sees about ``6 / accuracy`` of a key's values. A sketch that missed
     its guarantee would raise an error, never give another number.
+
+    The frame is read twice and has to give the same values both times, as a scan or a stored
+    frame does; sums of doubles computed again may differ in their last digits.
     """
     slack = 2 / accuracy
     bracket_at = [max(fraction - slack, 0.0), min(fraction + slack, 1.0)]

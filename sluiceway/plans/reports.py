@@ -14,6 +14,7 @@ from sluiceway.functions.columns import dollars
 from sluiceway.operators.aggregates import exact_percentile, with_share_of_total
 from sluiceway.operators.joins import broadcast_if_small, top_cross_totals
 from sluiceway.operators.ranking import top
+from sluiceway.storage import stored
 
 
 def cents(column: Column) -> Column:
@@ -70,7 +71,7 @@ def category_performance(products: DataFrame) -> DataFrame:
     totals = products.groupBy("category").agg(
         F.count(F.lit(1)).alias("num_products"),
         cents(F.sum("total_revenue")).alias("category_revenue"),
-        F.round(F.avg("click_to_cart_rate"), 4).alias("avg_conversion"),
+        F.round(F.avg("click_to_cart_rate"), 8).alias("avg_conversion"),
     )
     return totals.orderBy(F.desc("category_revenue"), "category")
 
@@ -129,8 +130,12 @@ def segment_users(segments: DataFrame, daily: DataFrame, k: int = 20) -> DataFra
 
 
 def lifetime_value(daily: DataFrame) -> DataFrame:
-    """Customers, revenue, mean and exact median revenue per segment."""
-    users = daily.groupBy("user_id", "segment").agg(F.sum("total_revenue").alias("paid"))
+    """Customers, revenue, mean and exact median revenue per segment.
+
+    The totals per user are stored once: the median reads them twice, and sums of amounts differ
+    in their last digits when they are computed again.
+    """
+    users = stored(daily.groupBy("user_id", "segment").agg(F.sum("total_revenue").alias("paid")))
     totals = users.groupBy("segment").agg(
         F.count_distinct("user_id").alias("customers"),
         cents(F.sum("paid")).alias("total_revenue"),
@@ -145,7 +150,7 @@ def product_mix(products: DataFrame) -> DataFrame:
     totals = products.groupBy("category").agg(
         F.count(F.lit(1)).alias("products"),
         F.sum("total_revenue").alias("revenue"),
-        F.round(F.avg("cart_to_purchase_rate"), 4).alias("avg_conversion"),
+        F.round(F.avg("cart_to_purchase_rate"), 8).alias("avg_conversion"),
     )
     shared = with_share_of_total(totals, "revenue", "revenue_pct")
     return shared.withColumn("revenue", cents(F.col("revenue"))).orderBy(F.desc("revenue"), "category")
@@ -154,8 +159,8 @@ def product_mix(products: DataFrame) -> DataFrame:
 def engagement_trend(daily: DataFrame) -> DataFrame:
     totals = daily.groupBy("date", "segment").agg(
         F.count_distinct("user_id").alias("daily_active_users"),
-        F.round(F.avg("total_events"), 4).alias("avg_events_per_user"),
-        F.round(F.avg("engagement_score"), 4).alias("avg_engagement"),
+        F.avg("total_events").alias("avg_events_per_user"),
+        F.avg("engagement_score").alias("avg_engagement"),
     )
     return totals.orderBy(F.desc("date"), "segment")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.errors import SluicewayError
 
@@ -34,6 +34,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a checkpoint in the shared folder: computed once and cut off from its plan."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()
+
+
 def sibling(path: str, label: str) -> str:
     """An unused hidden path next to ``path``, so that a later rename stays on one file system."""
     parent, _, name = path.rstrip("/").rpartition("/")
