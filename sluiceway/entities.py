@@ -17,15 +17,31 @@ EVENT_NAMES = {
     "purchase": "purchase",
 }
 
-# The event types that carry a product.
-PRODUCT_EVENTS = ["click", "add_to_cart", "purchase"]
+# The events, by their name in the tables, that carry a product.
+PRODUCT_EVENTS = ["click", "signup", "purchase"]
 
 # Order status letters and the names of the transaction states.
 STATUS_NAMES = {"F": "completed", "O": "pending"}
 
+# Columns of the tables. A known schema saves reading a footer each time a plan is built.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def as_user_events(events: DataFrame) -> DataFrame:
@@ -35,23 +51,14 @@ def as_user_events(events: DataFrame) -> DataFrame:
     for old, new in EVENT_NAMES.items():
         if old != new:
             renamed = F.when(kind == old, new).otherwise(renamed)
-    return (
-        events.select(
-            "event_id",
-            "user_id",
-            renamed.alias("event_type"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("_k"),
-            F.col("ts").alias("timestamp"),
-            "value",
-        )
-        .select(
-            "event_id",
-            "user_id",
-            "event_type",
-            F.when(F.col("event_type").isin(PRODUCT_EVENTS), F.col("_k")).alias("product_id"),
-            "timestamp",
-            F.when(F.col("event_type") == "purchase", F.col("value")).alias("revenue"),
-        )
+    product = F.get_json_object("props", "$.k").cast("bigint")
+    return events.select(
+        "event_id",
+        "user_id",
+        renamed.alias("event_type"),
+        F.when(kind.isin(PRODUCT_EVENTS), product).alias("product_id"),
+        F.col("ts").alias("timestamp"),
+        F.when(kind == "purchase", F.col("value")).alias("revenue"),
     )
 
 

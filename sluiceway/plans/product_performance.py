@@ -20,35 +20,41 @@ RULES = [
 ]
 
 
+def _with_event_totals(products: DataFrame, events: DataFrame) -> DataFrame:
+    """Events are counted per product before the join, so a popular product is one row in it."""
+    totals = {"unique_viewers": F.count_distinct("user_id")}
+    totals |= {name: F.count_if(F.col("event_type") == word) for name, word in COUNTED.items()}
+    seen = events.where(F.col("product_id").isNotNull()).select("product_id", "user_id", "event_type")
+    return join_totals(products.select(*ATTRIBUTES), seen, "product_id", totals, dict.fromkeys(totals, 0))
+
+
+def _one_row_each(joined: DataFrame, *more: str) -> DataFrame:
+    """Products listed twice count their events twice, as a join with the events would."""
+    once = [F.max(name).alias(name) for name in ("unique_viewers", *more)]
+    return joined.groupBy(*ATTRIBUTES).agg(*once, *[F.sum(name).alias(name) for name in COUNTED])
+
+
 def event_totals(products: DataFrame, events: DataFrame) -> DataFrame:
-    """Viewers and event counts of every product, 0 for products without events.
+    """Viewers and event counts of every product, 0 for products without events."""
+    return _one_row_each(_with_event_totals(products, events))
 
-    Events are counted per product before they meet the products, so a popular product is one row
-    in the join. Products listed twice count their events twice, as a join of the events would.
-    """
-    names = {"unique_viewers": F.count_distinct("user_id")}
-    names |= {name: F.count_if(F.col("event_type") == word) for name, word in COUNTED.items()}
-    seen = events.where(F.col("product_id").isNotNull()).select("product_id", "user_id", "event_type")
-    joined = join_totals(products.select(*ATTRIBUTES), seen, "product_id", names, dict.fromkeys(names, 0))
-    sums = [F.sum(name).alias(name) for name in COUNTED]
-    return joined.groupBy(*ATTRIBUTES).agg(F.max("unique_viewers").alias("unique_viewers"), *sums)
 
+def product_performance(products: DataFrame, events: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Event totals, completed sales and the rates from click to cart to purchase.
 
-def sales_totals(transactions: DataFrame) -> dict:
-    return {
+    Both joins and the last grouping share the partitioning by product, so products and both sets of
+    totals are shuffled once each.
+    """
+    sales = {
         "total_quantity_sold": F.sum("quantity"),
         "total_revenue": F.sum("total_amount"),
         "transaction_count": F.count(F.lit(1)),
     }
-
-
-def product_performance(products: DataFrame, events: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Event totals, completed sales and the rates from click to cart to purchase."""
     completed = transactions.where(F.col("status") == "completed")
-    totals = sales_totals(completed)
-    sold = join_totals(event_totals(products, events), completed, "product_id", totals, dict.fromkeys(totals, 0))
+    seen = _with_event_totals(products, events)
+    joined = join_totals(seen, completed, "product_id", sales, dict.fromkeys(sales, 0))
     per_unit = F.round(F.col("total_revenue") / F.col("total_quantity_sold"), 2)
-    return sold.withColumns(
+    return _one_row_each(joined, *sales).withColumns(
         {
             "click_to_cart_rate": percent(F.col("add_to_carts"), F.col("clicks")),
             "cart_to_purchase_rate": percent(F.col("transaction_count"), F.col("add_to_carts")),
