@@ -172,13 +172,17 @@ def for_streams(query: str) -> str:
     return re.sub(r"\bcount\s*\(\s*distinct\s+([\w.`]+)\s*\)", r"approx_count_distinct(\1)", query, flags=re.I)
 
 
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+
 @contextmanager
 def views(spark: SparkSession, frames: Frames):
     """Frames as temporary views for as long as a query is analyzed.
 
     The views of the session that had these names come back, and no run sees those of another.
     """
-    taken = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in frames}
+    taken = {name: spark.table(name) for name in frames if _is_view(spark, name)}
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
     try:

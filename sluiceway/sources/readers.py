@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +62,7 @@ def read_source(spark: SparkSession, source: dict) -> DataFrame:
         if source.get("schema") is not None:
             reader = reader.schema(source["schema"])
         return reader.load(source["path"])
-    except AnalysisException as error:
+    except Exception as error:  # a missing connector is no PySpark error
         if source["type"] == "delta" and "DATA_SOURCE_NOT_FOUND" in str(error):
             raise SourceError(f"source {source['name']!r}: this Spark has no delta connector") from error
         raise SourceError(f"source {source['name']!r} at {source['path']}: {error}") from error

@@ -76,7 +76,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def move(spark: SparkSession, old: str, new: str) -> None:
     fs, source = _locate(spark, old)
-    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(new)):
+    if not fs.exists(source) or not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(new)):
         raise SluicewayError(f"cannot move {old} to {new}")
 
 

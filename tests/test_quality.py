@@ -1,0 +1,211 @@
+import math
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from sluiceway.errors import RuleError
+from sluiceway.quality import rules as rule_module
+from sluiceway.quality.expectations import keep_valid, set_aside
+from sluiceway.quality.rules import Measures, register_rule, rule_types
+from sluiceway.quality.suite import evaluate, report_frame
+
+
+def rule(kind, name="r", **rest):
+    return {"name": name, "type": kind, **rest}
+
+
+def passes(df, *rules):
+    return evaluate(df, list(rules)).all_passed()
+
+
+def test_null_check(spark):
+    names = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (4, None)], ["id", "name"])
+    assert not passes(names, rule("null_check", column="name", threshold=10))
+    assert passes(names, rule("null_check", column="name", threshold=50))
+    assert passes(names, rule("null_check", column="id"))
+    assert passes(names.limit(0), rule("null_check", column="name"))
+
+
+def test_nan_is_no_null(spark):
+    frame = spark.createDataFrame([(math.nan,), (1.0,)], ["x"])
+    assert passes(frame, rule("null_check", column="x"))
+
+
+def test_range_check(people, spark):
+    assert passes(people, rule("range_check", column="age", min_value=20, max_value=40))
+    assert not passes(people, rule("range_check", column="age", min_value=20, max_value=30))
+    assert passes(people, rule("range_check", column="age", min_value=25, max_value=35))
+    assert passes(people, rule("range_check", column="age"))
+    nulls = spark.createDataFrame([(None,), (5,)], "x int")
+    assert passes(nulls, rule("range_check", column="x", min_value=5, max_value=5))
+    assert passes(nulls.where("x IS NULL"), rule("range_check", column="x", min_value=5))
+
+
+def test_nan_is_above_every_maximum_only(spark):
+    frame = spark.createDataFrame([(math.nan,)], ["x"])
+    assert passes(frame, rule("range_check", column="x", min_value=0))
+    assert not passes(frame, rule("range_check", column="x", max_value=1e308))
+
+
+def test_range_check_on_text(spark):
+    numbers = spark.createDataFrame([("5",), ("7",), (None,)], "x string")
+    words = spark.createDataFrame([("5",), ("seven",)], "x string")
+    dates = spark.createDataFrame([("2024-01-05",)], "x string")
+    assert passes(numbers, rule("range_check", column="x", min_value=5, max_value=7))
+    assert not passes(words, rule("range_check", column="x", min_value=0))
+    assert passes(dates, rule("range_check", column="x", min_value="2024-01-01"))
+
+
+def test_row_count(people):
+    assert passes(people, rule("row_count", min_count=3, max_count=10))
+    assert passes(people, rule("row_count", min_count=5, max_count=5))
+    assert not passes(people, rule("row_count", min_count=10))
+    assert not passes(people, rule("row_count", max_count=3))
+    assert passes(people.limit(0), rule("row_count", max_count=3))
+
+
+def test_one_job_however_many_rules(people, jobs):
+    few = [rule("null_check", "a", column="id")]
+    many = [rule("range_check", f"r{i}", column="age", min_value=i) for i in range(20)]
+    people = people.cache()
+    people.count()
+    assert jobs(lambda: evaluate(people, few)) == jobs(lambda: evaluate(people, many))
+    people.unpersist()
+
+
+def test_all_rules_run_and_broken_ones_fail_alone(people):
+    report = evaluate(
+        people.withColumn("list", F.array("id")),
+        [
+            rule("null_check", "missing", column="nowhere"),
+            rule("range_check", "text", column="name", min_value=0),
+            rule("range_check", "array", column="list", min_value=0),
+            rule("formula", "nonsense", column="age", expression="no_such_column + 1"),
+            rule("null_check", "fine", column="id"),
+        ],
+    )
+    assert report.executed == ["missing", "text", "array", "nonsense", "fine"]
+    assert report.passed == ["fine"] and report.failed == ["missing", "text", "array", "nonsense"]
+    assert "nowhere" in report.details["missing"]
+    assert report.metrics["fine"]["passed"] is True
+
+
+def test_rule_that_fails_on_the_data_fails_alone(people):
+    report = evaluate(
+        people,
+        [
+            rule("formula", "divides", column="age", expression="1 / (age - 30)"),
+            rule("null_check", "fine", column="id"),
+        ],
+    )
+    assert report.passed == ["fine"] and report.failed == ["divides"]
+
+
+def test_disabled_and_empty(people, jobs):
+    bad = [rule("row_count", min_count=99)]
+    for validation in (None, [], {"rules": []}, {"enabled": False, "rules": bad}):
+        report = evaluate(people, validation)
+        assert report.all_passed() and report.executed == []
+        assert jobs(lambda v=validation: evaluate(people, v)) == 0
+    assert not evaluate(people, {"rules": bad}).all_passed()
+
+
+@pytest.mark.parametrize(
+    "wrong",
+    [rule("unknown"), rule("null_check"), rule("range_check"), {"type": "row_count"}, rule("custom"), rule("allowed_values", column="id")],
+)
+def test_wrong_rules_end_the_run_before_any_job(people, jobs, wrong):
+    def run():
+        with pytest.raises(RuleError):
+            evaluate(people, [rule("row_count", min_count=1), wrong])
+
+    assert jobs(run) == 0
+
+
+def test_plug_in_rules_join_the_one_pass(people):
+    def even(config, schema):
+        odd = F.count_if(F.col(config["column"]) % 2 != 0)
+        rows = F.count(F.lit(1))
+        return Measures(rows, odd, odd.cast("double"), odd == 0, "even")
+
+    register_rule("even", even)
+    try:
+        assert "even" in rule_types()
+        report = evaluate(people, [rule("even", column="id"), rule("even", "s", column="salary")])
+        assert report.failed == ["r"] and report.passed == ["s"]
+    finally:
+        del rule_module._TYPES["even"]
+
+
+def test_custom_checks(people):
+    def rich(df):
+        poor = df.where("salary < 55000").count()
+        return poor == 0, f"{poor} poor"
+
+    report = evaluate(people, [rule("custom", "rich", check=rich), rule("custom", "broken", check=lambda df: 1 / 0)])
+    assert report.details["rich"] == "1 poor" and "division" in report.details["broken"]
+
+
+def test_checks_of_the_engagement_plan(spark):
+    frame = spark.createDataFrame(
+        [(1, "free", "2024-01-01", 40, 10, 5, 2, 30.0), (2, "premium", "2024-01-02", 50, 20, 10, 1, 1440.0)],
+        "user_id long, segment string, date string, score long, views long, clicks long, bought long, minutes double",
+    )
+    good = [
+        rule("allowed_values", "segment", column="segment", values=["free", "premium", "enterprise"]),
+        rule("not_after", "date", column="date", as_of="2024-01-02"),
+        rule("range_check", "minutes", column="minutes", min_value=0, max_value=1440),
+        rule("positive_id", "id", column="user_id"),
+        rule("formula", "score", column="score", expression="views + clicks * 2 + bought * 10"),
+    ]
+    assert evaluate(frame, good).all_passed()
+    bad = [
+        rule("allowed_values", "segment", column="segment", values=["free"]),
+        rule("not_after", "date", column="date", as_of="2024-01-01"),
+        rule("positive_id", "id", column="bought"),
+        rule("formula", "score", column="score", expression="views"),
+    ]
+    report = evaluate(frame.withColumn("bought", F.col("bought") - 1), bad)
+    assert report.passed == []
+
+
+def test_report_frame_is_lazy(people, jobs):
+    frames = []
+    rules = [rule("null_check", "a", column="id"), rule("null_check", "b", column="nowhere")]
+    assert jobs(lambda: frames.append(report_frame(people, rules))) == 0
+    rows = {row["rule"]: row for row in frames[0].collect()}
+    assert rows["a"].passed and rows["a"].rows == 5 and not rows["b"].passed and rows["b"].rows is None
+
+
+EXPECTED = [
+    rule("null_check", "named", column="name", threshold=99),
+    rule("range_check", "age", column="age", min_value=10, max_value=20),
+    rule("row_count", "rows", min_count=1_000),
+]
+
+
+@pytest.fixture
+def ages(spark):
+    return spark.createDataFrame([("a", 10), ("b", 21), (None, 15), ("d", None), (None, 5)], "name string, age int")
+
+
+def test_expectations_drop_rows(ages):
+    assert {row.name for row in keep_valid(ages, EXPECTED).collect()} == {"a", "d"}
+
+
+def test_expectations_set_rows_aside(ages):
+    found = {(row.name, row.age): row.failed_rules for row in set_aside(ages, EXPECTED).collect()}
+    assert found == {("b", 21): ["age"], (None, 15): ["named"], (None, 5): ["named", "age"]}
+    assert keep_valid(ages, EXPECTED).count() + len(found) == 5
+
+
+def test_violations_are_counted_on_the_way(ages):
+    seen = Observation()
+    assert keep_valid(ages, EXPECTED, seen).count() == 2
+    assert seen.get == {"named": 2, "age": 2}
+
+
+def test_expectation_on_unknown_column(ages):
+    with pytest.raises(RuleError):
+        keep_valid(ages, [rule("null_check", column="nowhere")])
