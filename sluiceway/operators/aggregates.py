@@ -68,20 +68,24 @@ def exact_percentile(
     """Exact interpolated percentile per key without gathering a key in one task.
 
     Spark's own exact percentile holds every distinct value of a group in one buffer. Here a
-    mergeable sketch first brackets the wanted rank for each key. Rows below the bracket are only
-    counted, rows above it are dropped from the count, and equal values are one row before the
-    shuffle; the final window sees about ``6 / accuracy`` of a key's values. A sketch that missed
-    its guarantee would raise an error, never give another number.
+    mergeable sketch first brackets the wanted rank for each key with more than ``accuracy`` values.
+    Rows below the bracket are only counted, rows above it need no count, and equal values are one
+    row before the shuffle; the final window sees about ``8 / accuracy`` of such a key's values. A
+    sketch that missed its guarantee would raise an error, never give another number.
 
     The frame is read twice and has to give the same values both times, as a scan or a stored
     frame does; sums of doubles computed again may differ in their last digits.
     """
-    slack = 2 / accuracy
+    # One part in ``accuracy`` is the error of the sketch, the rest covers the two ranks in between
+    # which the result lies.
+    slack = 3 / accuracy
     bracket_at = [max(fraction - slack, 0.0), min(fraction + slack, 1.0)]
+    count = F.count(F.lit(1))
+    whole = F.array(F.min("_v"), F.max("_v"))
+    bracket = F.when(count > accuracy, F.percentile_approx("_v", bracket_at, accuracy)).otherwise(whole)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     brackets = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", bracket_at, accuracy).alias("_bracket"),
-        (F.lit(fraction) * (F.count(F.lit(1)) - 1)).alias("_rank"),
+        bracket.alias("_bracket"), (F.lit(fraction) * (count - 1)).alias("_rank")
     )
     joined = _join_null_safe(rows, brackets, keys)
     counted = (

@@ -46,7 +46,7 @@ def split_outer(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataF
 
     def alone(frame: DataFrame, other: DataFrame) -> DataFrame:
         without = frame.where(known).join(other.where(known).select(*keys).distinct(), keys, "left_anti")
-        return without.unionAll(frame.where(~known))
+        return without.unionByName(frame.where(~known))
 
     only_left = alone(left, right).select(*keys, *rest_left, *missing(right, rest_right))
     only_right = alone(right, left).select(*keys, *missing(left, rest_left), *rest_right)
