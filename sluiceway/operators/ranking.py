@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,9 @@ def number_newest_first(
     axis is cut into ranges of about that many rows; a key is then numbered range by range, and
     each range starts from the number of newer rows of its key. Those counts are aggregated
     before the shuffle and hold one row per key and range.
+
+    The frame is read once more for the bounds and once for the counts, and has to give the same
+    times each time, as a scan or a stored frame does.
     """
     newest = [F.desc_nulls_last(time), F.desc(tie)]
     ranges = ceil(df.count() / rows_per_task)
@@ -42,13 +46,16 @@ def number_newest_first(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*keys, "_range", F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
     )
-    same = F.lit(True)
-    for key in [*keys, "_range"]:
-        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}"))
-    joined = ranged.alias("r").join(starts.alias("s"), same).select("r.*", "s._newer")
     within = Window.partitionBy(*keys, "_range").orderBy(*newest)
     number = (F.col("_newer") + F.row_number().over(within)).cast("int")
-    return joined.withColumn(output, number).drop("_range", "_newer")
+
+    # Rows without a null key join on plain equality, whose shuffle the window uses as well.
+    known = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    plain = ranged.where(known).join(starts, [*keys, "_range"])
+    same = [F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}")) for key in [*keys, "_range"]]
+    keyless = ranged.where(~known).alias("r").join(starts.where(~known).alias("s"), same).select("r.*", "s._newer")
+    parts = [part.withColumn(output, number).drop("_range", "_newer") for part in (plain, keyless)]
+    return parts[0].unionByName(parts[1]).select(*df.columns, output)
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
