@@ -1,7 +1,8 @@
 """Joins, with plans that hold when one key has a large part of the rows.
 
-Inner, left and right joins are left to adaptive execution, which splits skewed partitions on the
-sides it may split. ``split_outer`` rewrites a full outer join, which it cannot split at all.
+Adaptive execution splits a skewed partition of an inner join on both sides, of a left or right join only
+on the side that keeps all its rows, and of a full outer join on neither. ``split_outer`` rewrites outer
+joins into parts that can be split.
 """
 
 from __future__ import annotations
@@ -14,24 +15,31 @@ def as_list(on: str | list[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+def join(
+    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner", split: bool = False
+) -> DataFrame:
     """Join on equally named columns, each of which appears once in the result.
 
     A semi or anti join only asks whether a key exists, so the right side is reduced to its
-    distinct keys first: the reduction starts before the shuffle and a hot key moves once.
+    distinct keys first: the reduction starts before the shuffle and a hot key moves once. A full
+    outer join is always done in parts; ``split`` does so for a left or right join whose other side
+    may have a hot key.
     """
     keys = as_list(on)
-    if how.lower().replace("_", "") in {"semi", "leftsemi", "anti", "leftanti"}:
+    word = how.lower().replace("_", "").removesuffix("outer") or "outer"
+    if word in {"semi", "leftsemi", "anti", "leftanti"}:
         right = right.select(*keys).distinct()
+    if word in {"outer", "full"} or (split and word in {"left", "right"}):
+        return split_outer(left, right, keys, "outer" if word == "full" else word)
     return left.join(right, on=keys, how=how)
 
 
-def split_outer(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Full outer join as matches, left rows without a match and right rows without a match.
+def split_outer(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "outer") -> DataFrame:
+    """Left, right or full outer join as matches plus the rows without a match.
 
-    Adaptive execution can split a hot key on either side of the inner join and on the row side
-    of both anti joins, while it can split neither side of one full outer join. Rows with a null
-    key never match and so stay out of the shuffles of the matches.
+    Adaptive execution can split a hot key on either side of the inner join and on the row side of the
+    anti joins, which read the other side as distinct keys. The parts read the same shuffles of both
+    sides. Rows with a null key never match and stay out of the shuffles.
     """
     keys = as_list(on)
     known = F.lit(True)
@@ -39,7 +47,6 @@ def split_outer(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataF
         known = known & F.col(key).isNotNull()
     rest_left = [c for c in left.columns if c not in keys]
     rest_right = [c for c in right.columns if c not in keys]
-    matched = left.join(right, keys, "inner").select(*keys, *rest_left, *rest_right)
 
     def missing(frame: DataFrame, names: list[str]) -> list[Column]:
         return [F.lit(None).cast(frame.schema[n].dataType).alias(n) for n in names]
@@ -48,9 +55,12 @@ def split_outer(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataF
         without = frame.where(known).join(other.where(known).select(*keys).distinct(), keys, "left_anti")
         return without.unionByName(frame.where(~known))
 
-    only_left = alone(left, right).select(*keys, *rest_left, *missing(right, rest_right))
-    only_right = alone(right, left).select(*keys, *missing(left, rest_left), *rest_right)
-    return matched.unionByName(only_left).unionByName(only_right)
+    result = left.join(right, keys, "inner").select(*keys, *rest_left, *rest_right)
+    if how in ("left", "outer"):
+        result = result.unionByName(alone(left, right).select(*keys, *rest_left, *missing(right, rest_right)))
+    if how in ("right", "outer"):
+        result = result.unionByName(alone(right, left).select(*keys, *missing(left, rest_left), *rest_right))
+    return result
 
 
 def broadcast_if_small(small: DataFrame, max_rows: int = 100_000) -> DataFrame:

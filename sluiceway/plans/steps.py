@@ -103,7 +103,8 @@ def join_step(step: dict) -> Action:
     if not on:
         raise StepError(f"step {step['name']!r} lacks 'on'")
     _need_inputs(step, 2)
-    return lambda spark, frames: join(*_inputs(step, frames), on, step.get("how", "inner"))
+    how, split = step.get("how", "inner"), bool(step.get("split"))
+    return lambda spark, frames: join(*_inputs(step, frames), on, how, split)
 
 
 @step_type("aggregate")

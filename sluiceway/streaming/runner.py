@@ -1,8 +1,8 @@
-"""Runs a spec as streaming tables with a batch view at the end.
+"""Runs a spec as streaming tables with batch views at the end.
 
-Fact sources are streams and dimensions are batches. All steps but the last run on the stream into
-a stored table; the last step is a batch over stored tables and dimensions, recomputed each time,
-with the rules as row expectations.
+Fact sources are streams and dimensions are batches. Steps on streams run into stored tables; the last
+step, and any step that mixes streams with other batch tables, is a batch over those tables and is
+recomputed each time. The rules are row expectations on the last view.
 """
 
 from __future__ import annotations
@@ -17,24 +17,32 @@ from sluiceway.plans.steps import chain, prepare
 from sluiceway.quality.expectations import keep_valid
 from sluiceway.quality.rules import check_rules
 from sluiceway.sinks import writer
-from sluiceway.sources.readers import read_source, read_stream, source_mode
+from sluiceway.sources.readers import DIMENSION_WORDS, read_source, read_stream, source_mode
 from sluiceway.streaming import sinks
 from sluiceway.streaming.engagement import with_event_time
 
 
+def _is_dimension(name: str) -> bool:
+    return any(word in name.lower() for word in DIMENSION_WORDS)
+
+
 def table_kinds(spec: dict) -> dict[str, str]:
     """``stream`` or ``batch`` for every source and step output.
 
-    The last step is a batch. A step on streams is a stream, also where it joins dimensions; the
-    output of a step is a stream as soon as one of its inputs is.
+    The last step is a batch. Another step on streams is a stream, also where it joins dimensions;
+    with any other batch table among its inputs it is a batch.
     """
     kinds = {source["name"]: source_mode(source) for source in spec["sources"]}
+    dimensions = {name for name, kind in kinds.items() if kind == "batch"}
     steps = spec.get("transformations") or []
     for step in steps:
-        streaming = any(kinds.get(name) == "stream" for name in step["inputs"])
-        kinds[step["output"]] = "stream" if streaming else "batch"
-    if steps:
-        kinds[steps[-1]["output"]] = "batch"
+        name, inputs = step["output"], step["inputs"]
+        streams = [i for i in inputs if kinds.get(i) == "stream"]
+        others = [i for i in inputs if kinds.get(i) != "stream" and i not in dimensions]
+        last = step is steps[-1]
+        kinds[name] = "stream" if streams and not others and not last else "batch"
+        if kinds[name] == "batch" and not streams and _is_dimension(name):
+            dimensions.add(name)
     return kinds
 
 
@@ -67,12 +75,24 @@ def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int
     return StreamRun(tables, view, kinds)
 
 
+def split_steps(spec: dict, kinds: dict[str, str]) -> tuple[list[dict], list[dict]]:
+    """Steps that can be built at once, and those that have to wait for stored streams."""
+    waiting, now, later = set(), [], []
+    for step in spec.get("transformations") or []:
+        needs_store = kinds[step["output"]] == "batch" and any(kinds[i] == "stream" for i in step["inputs"])
+        if needs_store or any(i in waiting for i in step["inputs"]):
+            waiting.add(step["output"])
+            later.append(step)
+        else:
+            now.append(step)
+    return now, later
+
+
 def start_streams(spark: SparkSession, spec: dict, folder: str):
-    """Starts one query for every stream the last step reads."""
+    """Starts one query for every stream that a batch step, or nobody but the user, reads."""
     settings = spec.get("streaming") or {}
     kinds = table_kinds(spec)
-    steps = spec.get("transformations") or []
-    for step in steps:
+    for step in spec.get("transformations") or []:
         prepare(step)
     frames = {}
     for source in spec["sources"]:
@@ -81,8 +101,12 @@ def start_streams(spark: SparkSession, spec: dict, folder: str):
         mark = settings.get("watermark")
         if mark and kinds[name] == "stream" and mark["column"] in frames[name].columns:
             frames[name] = with_event_time(frames[name], mark["column"], mark["delay"])
-    frames = chain(spark, frames, steps[:-1])
-    wanted = steps[-1]["inputs"] if steps else [spec["sources"][0]["name"]]
+    now, later = split_steps(spec, kinds)
+    frames = chain(spark, frames, now)
+    if spec.get("transformations"):
+        wanted = list(dict.fromkeys(name for step in later for name in step["inputs"] if name in frames))
+    else:
+        wanted = [spec["sources"][0]["name"]]
     queries, tables = [], {}
     sources = {source["name"] for source in spec["sources"]}
     for name in wanted:
@@ -103,15 +127,14 @@ def start_streams(spark: SparkSession, spec: dict, folder: str):
 
 
 def final_view(spark: SparkSession, spec: dict, frames: dict, tables: dict) -> DataFrame:
-    """Last step over the stored tables, without the rows that violate an expectation."""
-    stored = dict(frames)
+    """Result of the batch steps over the stored tables, without the rows that violate an expectation."""
+    stored = {name: frame for name, frame in frames.items() if not frame.isStreaming}
     for name, path in tables.items():
         stored[name] = spark.read.schema(frames[name].schema).parquet(path)
     steps = spec.get("transformations") or []
     if steps:
-        # Frames that still stream cannot be read by a batch step and are no input of it.
-        batch = {name: frame for name, frame in stored.items() if not frame.isStreaming}
-        view = chain(spark, batch, steps[-1:])[steps[-1]["output"]]
+        _, later = split_steps(spec, table_kinds(spec))
+        view = chain(spark, stored, later)[steps[-1]["output"]]
     else:
         view = stored[spec["sources"][0]["name"]]
     validation = spec.get("validation") or {"enabled": False}

@@ -39,6 +39,14 @@ def test_split_outer_on_two_keys_and_empty_sides(sides):
     assert joins.split_outer(empty, left, ["k", "j"]).count() == 60
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_outer", "right", "rightouter", "outer", "full", "full_outer", "fullouter"])
+@pytest.mark.parametrize("split", [False, True])
+def test_join_words(sides, how, split):
+    left, right = sides
+    wanted = left.join(right, "k", how).select("k", "a", "b")
+    assert rows(joins.join(left, right, "k", how, split).select("k", "a", "b")) == rows(wanted)
+
+
 @pytest.mark.parametrize("how", ["left_semi", "left_anti", "semi", "anti", "leftanti"])
 def test_reduced_semi_and_anti_joins(sides, how):
     left, right = sides

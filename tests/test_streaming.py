@@ -169,7 +169,24 @@ def test_kinds_of_tables(spec):
         "events": "stream", "user_profiles": "batch", "daily": "stream", "named": "stream", "final": "batch"
     }
     spec["transformations"].insert(0, sql_step("lookup", ["user_profiles"], "SELECT * FROM user_profiles"))
-    assert runner.table_kinds(spec)["lookup"] == "batch"
+    spec["transformations"].insert(1, sql_step("segments", ["user_profiles"], "SELECT * FROM user_profiles"))
+    spec["transformations"].insert(2, sql_step("with_lookup", ["events", "lookup"], "SELECT 1"))
+    spec["transformations"].insert(3, sql_step("mixed", ["events", "segments"], "SELECT 1"))
+    kinds = runner.table_kinds(spec)
+    assert [kinds[n] for n in ("lookup", "segments", "with_lookup", "mixed")] == ["batch", "batch", "stream", "batch"]
+
+
+def test_steps_on_streams_and_other_batch_tables_read_stored_streams(spark, spec, tmp_path):
+    spec["transformations"] = [
+        sql_step("segments", ["user_profiles"], "SELECT segment, min(user_id) AS user_id FROM user_profiles GROUP BY segment"),
+        sql_step("clicks", ["events"], "SELECT * FROM events WHERE event_type = 'click'"),
+        sql_step("mixed", ["clicks", "segments"], "SELECT c.*, segment FROM clicks c LEFT JOIN segments USING (user_id)"),
+        sql_step("final", ["mixed"], "SELECT segment, count(*) AS n FROM mixed GROUP BY segment"),
+    ]
+    del spec["validation"], spec["streaming"]["keys"]
+    result = runner.run(spark, spec, f"{tmp_path}/streams", SECONDS)
+    assert {tuple(row) for row in result.view.collect()} == {("free", 1), (None, 1)}
+    assert list(result.tables) == ["clicks"]
 
 
 def test_streaming_spec_runs_incrementally(spark, spec, tmp_path):
