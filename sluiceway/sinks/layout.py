@@ -60,6 +60,7 @@ def compact(
     The new folder is staged next to the old one and swapped in. Rows of one partition value are
     gathered by a rebalance, which splits a value that is too large for one task.
     """
+    storage.recover(spark, path)
     df = spark.read.parquet(path)
     files = max(1, ceil(storage.size_in_bytes(spark, path) / file_bytes))
     if zorder_by:

@@ -63,24 +63,30 @@ def touched(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFra
 
 
 def merge_folder(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
-    """Merges a frame into a Parquet folder.
+    """Merges a frame into a Parquet folder; a missing folder is created.
 
     ``source`` is read more than once, so it should be a stored frame. Where the folder is
     partitioned by some of the keys, only the partitions the source touches are read and
-    replaced; otherwise the merged table is staged next to the folder and swapped in.
+    replaced, otherwise the whole folder. Either is staged next to the folder and swapped in.
     """
     spark = source.sparkSession
-    target = spark.read.parquet(path)
-    if partition_by and set(partition_by) <= set(keys):
-        affected = touched(target, like_target(source, target), partition_by)
-        if affected is not None:
-            writer = upsert(affected, source, keys).hint("rebalance", *partition_by).write
-            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(*partition_by).parquet(path)
-            return
-    merged = upsert(target, source, keys)
-    if partition_by:
-        merged = merged.hint("rebalance", *partition_by)
+    by_part = bool(partition_by) and set(partition_by) <= set(keys)
+    depth = len(partition_by) if by_part else 0
+    storage.recover(spark, path)
     staged = storage.sibling(path, "staged")
+    if not storage.exists(spark, path):
+        arranged(source, partition_by).write.partitionBy(*partition_by).parquet(staged)
+        storage.swap_in(spark, staged, path)
+        return
+    target = spark.read.parquet(path)
+    affected = touched(target, like_target(source, target), partition_by) if by_part else None
+    if affected is None:
+        affected, depth = target, 0
+    merged = arranged(upsert(affected, source, keys), partition_by)
     merged.write.partitionBy(*partition_by).parquet(staged)
-    storage.swap_in(spark, staged, path)
+    storage.swap_in(spark, staged, path, depth)
+
+
+def arranged(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of one partition value in few tasks; adaptive execution splits a value that is too large."""
+    return df.hint("rebalance", *partition_by) if partition_by else df

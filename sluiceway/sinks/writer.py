@@ -98,12 +98,6 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def _arranged(df: DataFrame, target: dict) -> DataFrame:
-    """Rows of one partition value in few tasks; adaptive execution splits a value that is too large."""
-    columns = target.get("partition_by") or []
-    return df.hint("rebalance", *columns) if columns else df
-
-
 def _stage(df: DataFrame, target: dict, suite: Suite) -> tuple[str, int, dict | None]:
     spark = df.sparkSession
     path = target["path"]
@@ -115,7 +109,7 @@ def _stage(df: DataFrame, target: dict, suite: Suite) -> tuple[str, int, dict |
         seen = Observation()
         try:
             # The observation is the last operator before the writer, see write_checked.
-            _arranged(df, target).observe(seen, rows, *measures).write.partitionBy(*columns).parquet(staged)
+            merge.arranged(df, columns).observe(seen, rows, *measures).write.partitionBy(*columns).parquet(staged)
         except DATA_ERRORS:
             storage.remove(spark, staged)
             if not measures:
@@ -157,8 +151,10 @@ def _result(target: dict, rows: int) -> WriteResult:
 
 def _save(df: DataFrame, target: dict, mode: str | None = None) -> int:
     """Plain append or overwrite, counting the rows on the way."""
+    if not is_table_name(target["path"]):
+        storage.recover(df.sparkSession, target["path"])
     seen = Observation()
-    counted = _arranged(df, target).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = merge.arranged(df, target.get("partition_by") or []).observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(target["type"]).mode(mode or target.get("mode", "append"))
     writer = writer.partitionBy(*(target.get("partition_by") or []))
     try:
@@ -177,11 +173,10 @@ def _merge(df: DataFrame, target: dict) -> None:
     """Merge into an existing target; a missing one is created. Any other error is passed on."""
     spark, path, keys = df.sparkSession, target["path"], list(target["merge_keys"])
     named = is_table_name(path)
-    there = spark.catalog.tableExists(path) if named else storage.exists(spark, path)
-    if not there:
-        _save(df, target, "append")
-    elif target["type"] == "parquet" and not named:
+    if target["type"] == "parquet" and not named:
         merge.merge_folder(df, path, keys, target.get("partition_by") or [])
+    elif not (spark.catalog.tableExists(path) if named else storage.exists(spark, path)):
+        _save(df, target, "append")
     elif target["type"] == "parquet":
         # A Parquet table cannot be rewritten while it is read, so the merged rows are stored first.
         stored = storage.new_folder(spark, "merged")

@@ -80,19 +80,66 @@ def move(spark: SparkSession, old: str, new: str) -> None:
         raise SluicewayError(f"cannot move {old} to {new}")
 
 
-def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the folder ``staged`` in the place of ``path``; the old folder comes back on failure."""
-    if not exists(spark, path):
-        fs, location = _locate(spark, path)
-        if location.getParent() is not None:
-            fs.mkdirs(location.getParent())
-        move(spark, staged, path)
+def subfolders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders ``depth`` levels below a folder, relative to it; depth 0 is the folder itself."""
+    fs, location = _locate(spark, path)
+    level = [("", location)]
+    for _ in range(depth):
+        level = [
+            (f"{relative}/{status.getPath().getName()}", status.getPath())
+            for relative, folder in level
+            for status in fs.listStatus(folder)
+            if status.isDirectory() and "=" in status.getPath().getName()
+        ]
+    return [relative for relative, _ in level]
+
+
+def _retired(path: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_retired_{name}" if parent or path.startswith("/") else f"_retired_{name}"
+
+
+def swap_in(spark: SparkSession, staged: str, path: str, depth: int = 0) -> None:
+    """Puts the folder ``staged`` in the place of ``path``, or each of its partition folders.
+
+    An old folder is moved aside before the new one is moved in and is removed after that, so its
+    rows exist at every moment. ``recover`` puts it back if the swap was broken off in between.
+    One job at a time may write a folder.
+    """
+    recover(spark, path)
+    aside = _retired(path)
+    for part in subfolders(spark, staged, depth):
+        old, new, kept = path.rstrip("/") + part, staged + part, f"{aside}/depth{depth}{part}"
+        if exists(spark, old):
+            _make_parent(spark, kept)
+            move(spark, old, kept)
+        _make_parent(spark, old)
+        try:
+            move(spark, new, old)
+        except Exception:
+            recover(spark, path)
+            raise
+    remove(spark, aside)
+    remove(spark, staged)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends a swap that was broken off: folders without a successor come back."""
+    aside = _retired(path)
+    if not exists(spark, aside):
         return
-    retired = sibling(path, "retired")
-    move(spark, path, retired)
-    try:
-        move(spark, staged, path)
-    except Exception:
-        move(spark, retired, path)
-        raise
-    remove(spark, retired)
+    fs, location = _locate(spark, aside)
+    for status in fs.listStatus(location):
+        name = status.getPath().getName()
+        for part in subfolders(spark, f"{aside}/{name}", int(name.removeprefix("depth"))):
+            old = path.rstrip("/") + part
+            if not exists(spark, old):
+                _make_parent(spark, old)
+                move(spark, f"{aside}/{name}{part}", old)
+    remove(spark, aside)
+
+
+def _make_parent(spark: SparkSession, path: str) -> None:
+    fs, location = _locate(spark, path)
+    if location.getParent() is not None:
+        fs.mkdirs(location.getParent())

@@ -73,13 +73,7 @@ def _upsert_into(target: StreamTarget):
         stored = storage.new_folder(spark, f"batch-{batch_id}")
         batch.write.parquet(stored)
         rows = spark.read.schema(batch.schema).parquet(stored)
-        columns = list(target.partition_by)
-        if storage.exists(spark, target.path):
-            merge.merge_folder(rows, target.path, list(target.keys), columns)
-        else:
-            if columns:
-                rows = rows.hint("rebalance", *columns)
-            rows.write.partitionBy(*columns).parquet(target.path)
+        merge.merge_folder(rows, target.path, list(target.keys), list(target.partition_by))
         storage.remove(spark, stored)
 
     return upsert

@@ -235,6 +235,39 @@ def test_merge_on_two_partition_columns(spark, tmp_path):
     assert found == {(1, 11), (2, 20), (3, 30), (9, 90)}
 
 
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+@pytest.mark.parametrize("broken_at", [1, 2, 3, 4])
+def test_merge_completes_after_a_crash(spark, tmp_path, monkeypatch, partition_by, broken_at):
+    """The driver ends at any move of a swap; the same merge, run again, loses and doubles nothing."""
+    schema = "id int, part string, v int"
+    wanted = target(tmp_path / "t", "merge", merge_keys=["id", "part"], partition_by=partition_by)
+    write(spark.createDataFrame([(1, "a", 10), (2, "a", 20), (3, "b", 30), (4, "c", 40)], schema), wanted)
+    changes = spark.createDataFrame([(2, "a", 21), (3, "b", 31), (5, "b", 50)], schema)
+    real, calls = storage.move, []
+
+    class Crash(BaseException):
+        pass
+
+    def move(*arguments):
+        calls.append(arguments)
+        if len(calls) >= broken_at:
+            raise Crash
+        real(*arguments)
+
+    monkeypatch.setattr(storage, "move", move)
+    broken = False
+    try:
+        write(changes, wanted)
+    except Crash:
+        broken = True
+    assert broken == (broken_at <= (4 if partition_by else 2))
+    monkeypatch.setattr(storage, "move", real)
+    write(changes, wanted)
+    found = sorted((row.id, row.part, row.v) for row in spark.read.parquet(wanted["path"]).collect())
+    assert found == [(1, "a", 10), (2, "a", 21), (3, "b", 31), (4, "c", 40), (5, "b", 50)]
+    assert [name for name in hidden(tmp_path) if "retired" in name] == []
+
+
 def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
     frame = spark.range(1_000).withColumn("day", F.col("id") % 3)
     frame.repartition(20).write.parquet(str(tmp_path / "t"))

@@ -143,3 +143,4 @@ def test_swap_restores_the_old_folder_on_failure(spark, people, tmp_path):
     with pytest.raises(SluicewayError):
         storage.swap_in(spark, f"{tmp_path}/never_staged", f"{tmp_path}/kept")
     assert spark.read.parquet(f"{tmp_path}/kept").count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["kept"]
