@@ -200,7 +200,7 @@ def group_column(spark, folder):
     frames = [read(spark, folder) for read in (e.user_profiles, e.user_events, e.transactions)]
     segments = segment_performance.segment_performance(*frames).select("segment", "total_users")
     users = segment_performance.per_user(*frames).select("segment", "user_id", "country", "total_events")
-    return users.join(joins.broadcast_if_small(segments), "segment")
+    return users.join(segments, "segment")
 
 
 @query(

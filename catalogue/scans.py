@@ -336,16 +336,36 @@ def csv_export(spark, folder):
     ["user_daily"],
 )
 def run_spec(spark, folder):
-    """The whole run: read, three steps, four rules, gated write; then the target is read back."""
-    profiles = storage.new_folder(spark, "profiles")
-    e.user_profiles(spark, folder).select("user_id", "name", "segment", "signup_date").write.parquet(profiles)
-    events = storage.new_folder(spark, "events")
-    e.user_events(spark, folder).write.parquet(events)
+    """The whole run: read, five steps, four rules, gated write; then the target is read back."""
     target = storage.new_folder(spark, "target")
-    spec = user_engagement.spec(
-        {"type": "parquet", "path": events}, {"type": "parquet", "path": profiles}, target
-    )
-    outcome = runner.run(spark, spec)
+    outcome = runner.run(spark, engagement_spec(folder, target))
     assert outcome.status == "success", outcome.error
     minutes = F.round("session_duration_minutes", 4)
     return spark.read.parquet(target).withColumn("session_duration_minutes", minutes)
+
+
+def engagement_spec(folder, target):
+    """The engagement spec over the tables, with two steps in front that make its sources of them."""
+    none = {"type": "parquet", "path": "made by a step"}
+    spec = user_engagement.spec(none, none, target)
+    names = ["events", "customer", "nation", "orders"]
+    made = [
+        adapter("events", "as_user_events", ["events"]),
+        adapter("user_profiles", "as_user_profiles", ["customer", "nation", "orders"]),
+        {
+            "name": "profile_columns",
+            "type": "sql",
+            "inputs": ["user_profiles"],
+            "output": "user_profiles",
+            "sql": "SELECT user_id, name, segment, signup_date FROM user_profiles",
+        },
+    ]
+    sources = [
+        {"name": name, "type": "parquet", "path": path(folder, name), "schema": e.SCHEMAS[name]} for name in names
+    ]
+    return {**spec, "sources": sources, "transformations": [*made, *spec["transformations"]]}
+
+
+def adapter(output, function, inputs):
+    function = f"sluiceway.entities.{function}"
+    return {"name": output, "type": "python", "inputs": inputs, "output": output, "function": function}

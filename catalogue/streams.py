@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.registry import query
-from catalogue.scans import path
+from catalogue.scans import adapter, path
 from sluiceway import entities as e
 from sluiceway import storage
 from sluiceway.plans import user_engagement
@@ -214,15 +214,15 @@ E6_STEPS = [
 )
 def streaming_engagement(spark, folder):
     """The spec as streaming tables with a batch view: the last step runs over the stored table."""
-    profiles = storage.new_folder(spark, "profiles")
-    e.user_profiles(spark, folder).write.parquet(profiles)
+    batch = [
+        {"name": name, "type": "parquet", "path": path(folder, name), "mode": "batch"}
+        for name in ("customer", "nation", "orders")
+    ]
+    profiles = adapter("user_profiles", "as_user_profiles", [source["name"] for source in batch])
     spec = {
         "pipeline": {"name": "streaming_user_engagement"},
-        "sources": [
-            {"name": "events", "type": "parquet", "path": path(folder, "events")},
-            {"name": "user_profiles", "type": "parquet", "path": profiles},
-        ],
-        "transformations": E6_STEPS,
+        "sources": [{"name": "events", "type": "parquet", "path": path(folder, "events")}, *batch],
+        "transformations": [profiles, *E6_STEPS],
         "streaming": {"keys": ["user_id", "date"], "partition_by": ["date"]},
         "validation": {"rules": user_engagement.RULES},
     }

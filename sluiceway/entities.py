@@ -66,25 +66,26 @@ def user_events(spark: SparkSession, folder: str) -> DataFrame:
     return as_user_events(table(spark, folder, "events"))
 
 
-def user_profiles(spark: SparkSession, folder: str) -> DataFrame:
+def as_user_profiles(customer: DataFrame, nation: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per customer; the day of the first order stands for the sign-up day."""
-    signups = (
-        table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").alias("user_id"))
-        .agg(F.min(F.to_date("o_orderdate")).alias("signup_date"))
-    )
-    nation = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
+    signups = orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.min(F.to_date("o_orderdate")).alias("signup_date")
     )
-    customers = table(spark, folder, "customer").join(nation, "c_nationkey", "left")
-    return customers.select(
-        F.col("c_custkey").alias("user_id"),
+    countries = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
+    key = F.col("c_custkey")
+    users = customer.join(countries, "c_nationkey", "left").select(
+        key.alias("user_id"),
         F.col("c_name").alias("name"),
-        F.concat(F.lit("user"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-        (F.lit(18) + F.pmod(F.col("c_custkey"), F.lit(48))).cast("int").alias("age"),
+        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
+        (F.lit(18) + F.pmod(key, F.lit(48))).cast("int").alias("age"),
         F.col("c_mktsegment").alias("segment"),
         "country",
-    ).join(signups, "user_id", "left")
+    )
+    return users.join(signups, "user_id", "left")
+
+
+def user_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return as_user_profiles(*(table(spark, folder, name) for name in ("customer", "nation", "orders")))
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:

@@ -66,7 +66,8 @@ def split_outer(left: DataFrame, right: DataFrame, on: str | list[str], how: str
 def broadcast_if_small(small: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Marks the frame for a broadcast only if it is proven to have at most ``max_rows`` rows.
 
-    The check reads no more than ``max_rows + 1`` rows. A larger frame comes back unmarked and
+    The check reads no more than ``max_rows + 1`` rows, so it is meant for tables and stored frames;
+    for the result of a large plan it would run that plan. A larger frame comes back unmarked and
     the join shuffles it.
     """
     if small.limit(max_rows + 1).count() > max_rows:

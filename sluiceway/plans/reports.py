@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.columns import dollars
 from sluiceway.operators.aggregates import exact_percentile, with_share_of_total
-from sluiceway.operators.joins import broadcast_if_small, top_cross_totals
+from sluiceway.operators.joins import top_cross_totals
 from sluiceway.operators.ranking import top
 from sluiceway.storage import stored
 
@@ -118,11 +118,12 @@ def segment_by_category(daily: DataFrame, products: DataFrame, k: int = 20) -> D
 def segment_users(segments: DataFrame, daily: DataFrame, k: int = 20) -> DataFrame:
     """Revenue of users next to the average of their segment, largest first.
 
-    Users are summed up before the join, so a large segment is spread like any other.
+    Users are summed up before the join. The segments are a plan of their own, so their size is left
+    to adaptive execution, which broadcasts them once it has seen that they are few.
     """
     users = daily.groupBy("segment", "user_id", "name").agg(F.sum("total_revenue").alias("user_revenue"))
     wanted = segments.select("segment", "total_users", F.col("avg_revenue_per_user").alias("segment_avg_revenue"))
-    joined = users.join(broadcast_if_small(wanted), "segment")
+    joined = users.join(wanted, "segment")
     rounded = joined.withColumns(
         {"segment_avg_revenue": cents(F.col("segment_avg_revenue")), "user_revenue": cents(F.col("user_revenue"))}
     )

@@ -35,11 +35,13 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The frame as a checkpoint in the shared folder: computed once and cut off from its plan."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """The frame written to the shared folder and read back: computed once, cut off from its plan.
+
+    The files stay until whoever owns the folder removes them.
+    """
+    folder = new_folder(df.sparkSession, "stored")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def sibling(path: str, label: str) -> str:
