@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.projections import step
-from catalogue.registry import query
+from catalogue.registry import half_up, query
 from sluiceway import entities as e
 from sluiceway.operators import aggregates as a
 from sluiceway.plans import reports, segment_performance, user_engagement
@@ -265,9 +265,9 @@ def segment_day(spark, folder):
 
 @query(
     "a24_share_of_total",
-    """
+    f"""
     SELECT o_orderpriority, round(sum(o_totalprice), 2) AS price,
-           round(sum(o_totalprice) * 100.0 / sum(sum(o_totalprice)) OVER (), 2) AS share
+           {half_up('sum(o_totalprice) * 100 / sum(sum(o_totalprice)) OVER ()')} AS share
     FROM orders GROUP BY o_orderpriority
     """,
 )
@@ -278,8 +278,8 @@ def share_of_total(spark, folder):
 
 @query(
     "a18_percentile_of_totals",
-    """
-    SELECT segment, round(quantile_cont(paid, 0.5), 2) AS median_customer_value
+    f"""
+    SELECT segment, {half_up('quantile_cont(paid, 0.5)')} AS median_customer_value
     FROM (SELECT user_id, segment, sum(total_revenue) AS paid FROM user_daily GROUP BY ALL) GROUP BY segment
     """,
     ["user_daily"],

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.registry import query
+from catalogue.registry import half_up, query
 from catalogue.scans import path
 from sluiceway import entities as e
 from sluiceway.functions import columns as c
@@ -230,7 +230,7 @@ def coalesce(spark, folder):
     return e.user_events(spark, folder).select("event_id", *columns)
 
 
-@query("f6_round", "SELECT p_partkey, round(p_retailprice / 7, 2) AS share FROM part")
+@query("f6_round", f"SELECT p_partkey, {half_up('p_retailprice / 7')} AS share FROM part")
 def rounded(spark, folder):
     return e.table(spark, folder, "part").select("p_partkey", F.round(F.col("p_retailprice") / 7, 2).alias("share"))
 
@@ -254,7 +254,7 @@ def engagement_score(spark, folder):
     "f9_weighted_score",
     """
     SELECT user_id, round(total_events * 0.3::DOUBLE + purchase_count * 0.4::DOUBLE
-                          + total_spent_events * 0.3::DOUBLE / 100, 4) AS score FROM per_user
+                          + total_spent_events * 0.3::DOUBLE / 100, 8) AS score FROM per_user
     """,
     ["per_user"],
 )
@@ -263,7 +263,7 @@ def weighted_score(spark, folder):
 
     users = per_user(*(read(spark, folder) for read in (e.user_profiles, e.user_events, e.transactions)))
     weights = {"total_events": 0.3, "purchase_count": 0.4, "total_spent_events": 0.003}
-    return users.select("user_id", F.round(c.weighted(weights), 4).alias("score"))
+    return users.select("user_id", F.round(c.weighted(weights), 8).alias("score"))
 
 
 @query(

@@ -11,6 +11,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+def half_up(expression: str, digits: int = 2) -> str:
+    """SQL that rounds half up as Spark does, on decimals; DuckDB rounds doubles in binary."""
+    return f"CAST(round(CAST({expression} AS DECIMAL(38, 8)), {digits}) AS DOUBLE)"
+
+
+CLICKS = "count(*) FILTER (WHERE e.event_type = 'click')"
+CARTS = "count(*) FILTER (WHERE e.event_type = 'add_to_cart')"
+SOLD = "coalesce(max(t.times), 0)"
+
 # Name -> (names it reads, SQL).
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "user_events": (
@@ -78,7 +87,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "product_performance": (
         ("user_events", "products", "transactions"),
-        """
+        f"""
         SELECT p.product_id, p.product_name, p.category, p.price,
                count(DISTINCT e.user_id) AS unique_viewers,
                count(*) FILTER (WHERE e.event_type = 'click') AS clicks,
@@ -87,15 +96,9 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                coalesce(max(t.sold), 0) AS total_quantity_sold,
                coalesce(max(t.paid), 0) AS total_revenue,
                coalesce(max(t.times), 0) AS transaction_count,
-               CASE WHEN count(*) FILTER (WHERE e.event_type = 'click') > 0
-                    THEN round(CAST(count(*) FILTER (WHERE e.event_type = 'add_to_cart') AS DOUBLE) * 100
-                               / count(*) FILTER (WHERE e.event_type = 'click'), 2) ELSE 0 END AS click_to_cart_rate,
-               CASE WHEN count(*) FILTER (WHERE e.event_type = 'add_to_cart') > 0
-                    THEN round(CAST(coalesce(max(t.times), 0) AS DOUBLE) * 100
-                               / count(*) FILTER (WHERE e.event_type = 'add_to_cart'), 2) ELSE 0 END
-                   AS cart_to_purchase_rate,
-               CASE WHEN coalesce(max(t.sold), 0) > 0 THEN round(max(t.paid) / max(t.sold), 2) ELSE 0 END
-                   AS avg_revenue_per_unit
+               CASE WHEN {CLICKS} > 0 THEN {half_up(f'{CARTS} * 100::DOUBLE / {CLICKS}')} ELSE 0 END AS click_to_cart_rate,
+               CASE WHEN {CARTS} > 0 THEN {half_up(f'{SOLD} * 100::DOUBLE / {CARTS}')} ELSE 0 END AS cart_to_purchase_rate,
+               CASE WHEN max(t.sold) > 0 THEN {half_up('max(t.paid) / max(t.sold)')} ELSE 0 END AS avg_revenue_per_unit
         FROM products p
         LEFT JOIN user_events e ON e.product_id = p.product_id
         LEFT JOIN (SELECT product_id, sum(quantity) AS sold, sum(total_amount) AS paid, count(*) AS times
@@ -123,17 +126,17 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "segment_performance": (
         ("per_user",),
-        """
+        f'''
         SELECT segment, count(DISTINCT user_id) AS total_users,
                CAST(sum(total_events) AS BIGINT) AS total_events, avg(total_events) AS avg_events_per_user,
                CAST(sum(active_days) AS BIGINT) AS total_active_days, avg(active_days) AS avg_active_days_per_user,
                CAST(sum(purchase_count) AS BIGINT) AS total_purchases, avg(purchase_count) AS avg_purchases_per_user,
                sum(transaction_revenue) AS total_revenue, avg(transaction_revenue) AS avg_revenue_per_user,
                avg(avg_transaction_value) AS avg_transaction_value,
-               round(avg(total_events) * 0.3::DOUBLE + avg(purchase_count) * 0.4::DOUBLE
-                     + avg(transaction_revenue) * 0.3::DOUBLE / 100, 2) AS engagement_score
+               {half_up("""avg(total_events) * 0.3::DOUBLE + avg(purchase_count) * 0.4::DOUBLE
+                        + avg(transaction_revenue) * 0.3::DOUBLE / 100""")} AS engagement_score
         FROM per_user GROUP BY segment
-        """,
+        ''',
     ),
 }
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalogue.plans import SEGMENTS, products, rounded_segments, segments, user_daily
-from catalogue.registry import query
+from catalogue.registry import half_up, query
 from sluiceway.plans import reports
 from sluiceway.sources.inventory import row_counts
 
@@ -106,9 +106,9 @@ def b8(spark, folder):
 
 @query(
     "b9_segment_comparison",
-    """
-    SELECT segment, total_users, round(avg_revenue_per_user, 2) AS avg_revenue,
-           round(avg_purchases_per_user, 2) AS avg_purchases, round(engagement_score, 2) AS engagement
+    f"""
+    SELECT segment, total_users, {half_up('avg_revenue_per_user')} AS avg_revenue,
+           {half_up('avg_purchases_per_user')} AS avg_purchases, round(engagement_score, 2) AS engagement
     FROM segment_performance
     """,
     ["segment_performance"],
@@ -119,8 +119,8 @@ def b9(spark, folder):
 
 @query(
     "b10_revenue_per_user",
-    """
-    SELECT segment, printf('$%.2f', round(avg_revenue_per_user, 2)) AS avg_revenue_per_user,
+    f"""
+    SELECT segment, printf('$%.2f', {half_up('avg_revenue_per_user')}) AS avg_revenue_per_user,
            printf('$%.2f', round(total_revenue, 2)) AS total_revenue, total_users
     FROM segment_performance
     """,
@@ -145,8 +145,8 @@ def b11(spark, folder):
 
 @query(
     "b12_segment_users",
-    """
-    SELECT s.segment, s.total_users, round(s.avg_revenue_per_user, 2) AS segment_avg_revenue, u.user_id, u.name,
+    f"""
+    SELECT s.segment, s.total_users, {half_up('s.avg_revenue_per_user')} AS segment_avg_revenue, u.user_id, u.name,
            round(sum(u.total_revenue), 2) AS user_revenue
     FROM segment_performance s JOIN user_daily u ON u.segment = s.segment
     GROUP BY s.segment, s.total_users, s.avg_revenue_per_user, u.user_id, u.name
@@ -160,9 +160,9 @@ def b12(spark, folder):
 
 @query(
     "b13_lifetime_value",
-    """
+    f"""
     SELECT segment, count(DISTINCT user_id) AS customers, round(sum(paid), 2) AS total_revenue,
-           round(avg(paid), 2) AS avg_customer_value, round(quantile_cont(paid, 0.5), 2) AS median_customer_value
+           {half_up('avg(paid)')} AS avg_customer_value, {half_up('quantile_cont(paid, 0.5)')} AS median_customer_value
     FROM (SELECT user_id, segment, sum(total_revenue) AS paid FROM user_daily GROUP BY ALL) GROUP BY segment
     """,
     ["user_daily"],
@@ -173,9 +173,9 @@ def b13(spark, folder):
 
 @query(
     "b14_product_mix",
-    """
+    f"""
     SELECT category, count(*) AS products, round(sum(total_revenue), 2) AS revenue,
-           round(sum(total_revenue) * 100.0 / sum(sum(total_revenue)) OVER (), 2) AS revenue_pct,
+           {half_up('sum(total_revenue) * 100 / sum(sum(total_revenue)) OVER ()')} AS revenue_pct,
            round(avg(cart_to_purchase_rate), 8) AS avg_conversion
     FROM product_performance GROUP BY category
     """,

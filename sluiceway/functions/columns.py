@@ -23,10 +23,19 @@ def ratio(numerator: Column, denominator: Column, otherwise: float = 0.0) -> Col
     return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(otherwise))
 
 
+def half_up(value: Column, digits: int = 2) -> Column:
+    """Rounds half up, the same on every run.
+
+    A double that was summed in another order may fall on the other side of a half by its last
+    digits; cutting those off first gives one answer.
+    """
+    return F.round(F.round(value.cast("double"), 8), digits)
+
+
 def percent(numerator: Column, denominator: Column) -> Column:
     """Percentage with two decimals as a double; 0 where the denominator is not positive."""
     share = numerator.cast("double") * 100 / denominator
-    return F.when(denominator > 0, F.round(share, 2)).otherwise(F.lit(0.0))
+    return F.when(denominator > 0, half_up(share)).otherwise(F.lit(0.0))
 
 
 def weighted(weights: Mapping[str, float]) -> Column:
@@ -40,7 +49,7 @@ def weighted(weights: Mapping[str, float]) -> Column:
 
 def dollars(amount: Column) -> Column:
     """Amount as text such as ``$12.50``."""
-    return F.concat(F.lit("$"), F.format_string("%.2f", F.round(amount, 2)))
+    return F.concat(F.lit("$"), F.format_string("%.2f", half_up(amount)))
 
 
 def customer_class(purchases: str = "purchases", revenue: str = "revenue") -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluiceway.functions.columns import half_up
+
 # Function names the aggregate step knows.
 FUNCTIONS = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}
 
@@ -20,7 +22,7 @@ def with_share_of_total(df: DataFrame, measure: str, output: str, digits: int =
     The total is a scalar subquery: a window without partitions would move all rows to one task.
     """
     total = df.agg(F.sum(measure)).scalar()
-    return df.withColumn(output, F.round(F.col(measure).cast("double") * 100 / total, digits))
+    return df.withColumn(output, half_up(F.col(measure).cast("double") * 100 / total, digits))
 
 
 def with_column_total(df: DataFrame, measure: str, output: str) -> DataFrame:

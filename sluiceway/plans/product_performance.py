@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.columns import percent
+from sluiceway.functions.columns import half_up, percent
 from sluiceway.operators.joins import join_totals
 
 # Counted event types and their columns.
@@ -53,7 +53,7 @@ def product_performance(products: DataFrame, events: DataFrame, transactions: Da
     completed = transactions.where(F.col("status") == "completed")
     seen = _with_event_totals(products, events)
     joined = join_totals(seen, completed, "product_id", sales, dict.fromkeys(sales, 0))
-    per_unit = F.round(F.col("total_revenue") / F.col("total_quantity_sold"), 2)
+    per_unit = half_up(F.col("total_revenue") / F.col("total_quantity_sold"))
     return _one_row_each(joined, *sales).withColumns(
         {
             "click_to_cart_rate": percent(F.col("add_to_carts"), F.col("clicks")),

@@ -7,20 +7,16 @@ that a rerun lists the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.columns import dollars
+from sluiceway.functions.columns import dollars, half_up
 from sluiceway.operators.aggregates import exact_percentile, with_share_of_total
 from sluiceway.operators.joins import top_cross_totals
 from sluiceway.operators.ranking import top
 from sluiceway.storage import stored
 
 
-def cents(column: Column) -> Column:
-    return F.round(column, 2)
-
-
 def top_users(daily: DataFrame, k: int = 10) -> DataFrame:
     scores = daily.groupBy("user_id", "name", "segment").agg(F.sum("engagement_score").alias("total_engagement"))
     return top(scores, k, F.desc("total_engagement"), F.asc("user_id"))
@@ -28,14 +24,14 @@ def top_users(daily: DataFrame, k: int = 10) -> DataFrame:
 
 def revenue_by_segment(daily: DataFrame) -> DataFrame:
     totals = daily.groupBy("segment").agg(
-        cents(F.sum("total_revenue")).alias("revenue"), F.count_distinct("user_id").alias("users")
+        half_up(F.sum("total_revenue")).alias("revenue"), F.count_distinct("user_id").alias("users")
     )
     return totals.orderBy(F.desc("revenue"), "segment")
 
 
 def daily_active_users(daily: DataFrame) -> DataFrame:
     days = daily.groupBy("date").agg(
-        F.count_distinct("user_id").alias("active_users"), cents(F.sum("total_revenue")).alias("revenue")
+        F.count_distinct("user_id").alias("active_users"), half_up(F.sum("total_revenue")).alias("revenue")
     )
     return days.orderBy(F.desc("date"))
 
@@ -43,14 +39,14 @@ def daily_active_users(daily: DataFrame) -> DataFrame:
 def purchasing_users(daily: DataFrame) -> DataFrame:
     buyers = daily.where(F.col("purchases") > 0).groupBy("user_id", "name", "segment")
     totals = buyers.agg(
-        F.sum("purchases").alias("total_purchases"), cents(F.sum("total_revenue")).alias("revenue")
+        F.sum("purchases").alias("total_purchases"), half_up(F.sum("total_revenue")).alias("revenue")
     )
     return totals.orderBy(F.desc("revenue"), "user_id")
 
 
 def top_products(products: DataFrame, k: int = 10) -> DataFrame:
     wanted = products.select(
-        "product_id", "product_name", "category", cents(F.col("total_revenue")).alias("total_revenue"), "transaction_count"
+        "product_id", "product_name", "category", half_up(F.col("total_revenue")).alias("total_revenue"), "transaction_count"
     )
     return top(wanted, k, F.desc("total_revenue"), F.asc("product_id"))
 
@@ -62,7 +58,7 @@ def best_converting(products: DataFrame, k: int = 10) -> DataFrame:
         "category",
         "click_to_cart_rate",
         "cart_to_purchase_rate",
-        cents(F.col("total_revenue")).alias("total_revenue"),
+        half_up(F.col("total_revenue")).alias("total_revenue"),
     )
     return top(clicked, k, F.desc("cart_to_purchase_rate"), F.asc("product_id"))
 
@@ -70,7 +66,7 @@ def best_converting(products: DataFrame, k: int = 10) -> DataFrame:
 def category_performance(products: DataFrame) -> DataFrame:
     totals = products.groupBy("category").agg(
         F.count(F.lit(1)).alias("num_products"),
-        cents(F.sum("total_revenue")).alias("category_revenue"),
+        half_up(F.sum("total_revenue")).alias("category_revenue"),
         F.round(F.avg("click_to_cart_rate"), 8).alias("avg_conversion"),
     )
     return totals.orderBy(F.desc("category_revenue"), "category")
@@ -84,7 +80,7 @@ def low_performers(products: DataFrame, min_viewers: int = 10, max_revenue: floa
         "category",
         "unique_viewers",
         "clicks",
-        cents(F.col("total_revenue")).alias("total_revenue"),
+        half_up(F.col("total_revenue")).alias("total_revenue"),
     )
     return wanted.orderBy(F.desc("unique_viewers"), "product_id")
 
@@ -93,9 +89,9 @@ def segment_comparison(segments: DataFrame) -> DataFrame:
     wanted = segments.select(
         "segment",
         "total_users",
-        cents(F.col("avg_revenue_per_user")).alias("avg_revenue"),
-        cents(F.col("avg_purchases_per_user")).alias("avg_purchases"),
-        cents(F.col("engagement_score")).alias("engagement"),
+        half_up(F.col("avg_revenue_per_user")).alias("avg_revenue"),
+        half_up(F.col("avg_purchases_per_user")).alias("avg_purchases"),
+        half_up(F.col("engagement_score")).alias("engagement"),
     )
     return wanted.orderBy(F.desc("avg_revenue"), "segment")
 
@@ -112,7 +108,7 @@ def revenue_per_user(segments: DataFrame) -> DataFrame:
 
 def segment_by_category(daily: DataFrame, products: DataFrame, k: int = 20) -> DataFrame:
     pairs = top_cross_totals(daily, products, "segment", "category", "user_id", "total_revenue", k)
-    return pairs.withColumn("revenue", cents(F.col("revenue")))
+    return pairs.withColumn("revenue", half_up(F.col("revenue")))
 
 
 def segment_users(segments: DataFrame, daily: DataFrame, k: int = 20) -> DataFrame:
@@ -125,7 +121,7 @@ def segment_users(segments: DataFrame, daily: DataFrame, k: int = 20) -> DataFra
     wanted = segments.select("segment", "total_users", F.col("avg_revenue_per_user").alias("segment_avg_revenue"))
     joined = users.join(wanted, "segment")
     rounded = joined.withColumns(
-        {"segment_avg_revenue": cents(F.col("segment_avg_revenue")), "user_revenue": cents(F.col("user_revenue"))}
+        {"segment_avg_revenue": half_up(F.col("segment_avg_revenue")), "user_revenue": half_up(F.col("user_revenue"))}
     )
     return top(rounded, k, F.desc("user_revenue"), F.asc("user_id"))
 
@@ -139,11 +135,11 @@ def lifetime_value(daily: DataFrame) -> DataFrame:
     users = stored(daily.groupBy("user_id", "segment").agg(F.sum("total_revenue").alias("paid")))
     totals = users.groupBy("segment").agg(
         F.count_distinct("user_id").alias("customers"),
-        cents(F.sum("paid")).alias("total_revenue"),
-        cents(F.avg("paid")).alias("avg_customer_value"),
+        half_up(F.sum("paid")).alias("total_revenue"),
+        half_up(F.avg("paid")).alias("avg_customer_value"),
     )
     medians = exact_percentile(users, ["segment"], "paid", 0.5, "median_customer_value")
-    medians = medians.withColumn("median_customer_value", cents(F.col("median_customer_value")))
+    medians = medians.withColumn("median_customer_value", half_up(F.col("median_customer_value")))
     return totals.join(medians, "segment", "left").orderBy(F.desc("avg_customer_value"), "segment")
 
 
@@ -154,7 +150,7 @@ def product_mix(products: DataFrame) -> DataFrame:
         F.round(F.avg("cart_to_purchase_rate"), 8).alias("avg_conversion"),
     )
     shared = with_share_of_total(totals, "revenue", "revenue_pct")
-    return shared.withColumn("revenue", cents(F.col("revenue"))).orderBy(F.desc("revenue"), "category")
+    return shared.withColumn("revenue", half_up(F.col("revenue"))).orderBy(F.desc("revenue"), "category")
 
 
 def engagement_trend(daily: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.functions.columns import weighted
+from sluiceway.functions.columns import half_up, weighted
 from sluiceway.operators.joins import join_totals
 
 # Weights of the engagement score of a segment.
@@ -61,4 +61,4 @@ def segment_performance(profiles: DataFrame, events: DataFrame, transactions: Da
         F.avg("transaction_revenue").alias("avg_revenue_per_user"),
         F.avg("avg_transaction_value").alias("avg_transaction_value"),
     )
-    return totals.withColumn("engagement_score", F.round(weighted(SCORE), 2))
+    return totals.withColumn("engagement_score", half_up(weighted(SCORE)))
