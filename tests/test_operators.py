@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sluiceway.functions.buckets import as_number, quantile_bounds, with_range_bucket
-from sluiceway.operators import aggregates, filters, joins, ranking
+from sluiceway.operators import aggregates, filters, joins, partitioning, ranking
 from sluiceway.plans import product_performance, segment_performance, user_engagement
 
 
@@ -134,6 +134,16 @@ def test_numbering_by_ranges_is_the_plain_numbering(spark):
         assert rows(plain.select("id", "n")) == rows(ranged.select("id", "n"))
 
 
+def test_gathered_and_reused_frames(spark):
+    frame = spark.range(1_000).withColumn("k", F.col("id") % 4)
+    assert partitioning.gathered(frame, "k", partitions=3).rdd.getNumPartitions() == 3
+    spread = partitioning.gathered(frame, "k").groupBy("k").agg(F.count_distinct(F.spark_partition_id()).alias("n"))
+    assert spread.agg(F.max("n")).first()[0] == 1
+    kept = partitioning.reused(frame)
+    assert kept.storageLevel.useMemory and kept.storageLevel.useDisk and kept.count() == 1_000
+    kept.unpersist()
+
+
 def test_latest(spark):
     frame = spark.createDataFrame([(1, 10, "a"), (1, 20, "b"), (1, 20, "c"), (2, 5, "d"), (None, 1, "e")], "k int, t int, v string")
     found = ranking.latest(frame, ["k"], [F.desc("t"), F.desc("v")])

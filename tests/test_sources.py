@@ -138,6 +138,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert storage.new_folder(spark, "x") != storage.new_folder(spark, "x")
 
 
+def test_without_the_setting_only_local_sessions_get_a_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "local[2]"
+            applicationId = "app-1"
+
+    assert storage.shared_folder(Session) == storage.shared_folder(Session)
+    Session.sparkContext.master = "spark://host:7077"
+    with pytest.raises(SluicewayError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session)
+
+
 def test_swap_restores_the_old_folder_on_failure(spark, people, tmp_path):
     people.write.parquet(f"{tmp_path}/kept")
     with pytest.raises(SluicewayError):
