@@ -156,12 +156,10 @@ def sql_step(step: dict) -> Action:
     text = _need(step, "sql")
 
     def action(spark: SparkSession, frames: Frames) -> DataFrame:
-        query = text
-        if any(frame.isStreaming for frame in frames.values()):
-            query = for_streams(query)
         try:
             with views(spark, frames):
-                return spark.sql(query)
+                result = spark.sql(text)
+                return spark.sql(for_streams(text)) if result.isStreaming else result
         except Exception as error:
             raise StepError(f"step {step['name']!r}: {error}") from error
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.errors import SpecError
 from sluiceway.plans import user_engagement
+from sluiceway.plans.steps import apply_step
 from sluiceway.sources.readers import read_stream
 from sluiceway.streaming import engagement, runner, sinks
 
@@ -89,6 +90,11 @@ def test_distinct_counts_are_approximate_on_streams_only(spark, tmp_path):
     stream, batch = events(spark, tmp_path / "in"), spark.read.parquet(f"{tmp_path}/in")
     assert "approx_count_distinct" in user_engagement.daily_metrics(stream)._jdf.queryExecution().analyzed().toString()
     assert "approx_count_distinct" not in user_engagement.daily_metrics(batch)._jdf.queryExecution().analyzed().toString()
+    for name, approximate in [("stream", True), ("batch", False)]:
+        text = f"SELECT count(DISTINCT event_type) AS n FROM {name}"
+        step = {"name": "s", "type": "sql", "inputs": [name], "output": "o", "sql": text}
+        plan = apply_step(spark, {"stream": stream, "batch": batch}, step)._jdf.queryExecution().analyzed().toString()
+        assert ("approx_count_distinct" in plan) == approximate
 
 
 def test_append_mode_gives_closed_windows_only(spark, tmp_path):
