@@ -65,15 +65,17 @@ def collect_values(
 
 
 def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, fraction: float, output: str, accuracy: int = 100_000
+    df: DataFrame, keys: list[str], value: str, fraction: float, output: str, accuracy: int = 10_000
 ) -> DataFrame:
     """Exact interpolated percentile per key without gathering a key in one task.
 
     Spark's own exact percentile holds every distinct value of a group in one buffer. Here a
     mergeable sketch first brackets the wanted rank for each key with more than ``accuracy`` values.
     Rows below the bracket are only counted, rows above it need no count, and equal values are one
-    row before the shuffle; the final window sees about ``8 / accuracy`` of such a key's values. A
-    sketch that missed its guarantee would raise an error, never give another number.
+    row before the shuffle; the final window sees about ``8 / accuracy`` of such a key's values. Each task
+    sends a sketch of at most some ``accuracy`` numbers per key, so a larger ``accuracy`` trades a smaller
+    window for larger sketches. A sketch that missed its guarantee would raise an error, never give
+    another number.
 
     The frame is read twice and has to give the same values both times, as a scan or a stored
     frame does; sums of doubles computed again may differ in their last digits.

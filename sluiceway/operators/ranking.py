@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from sluiceway.functions.buckets import as_number, quantile_bounds, with_range_bucket
 
 
+# More ranges than this would make the list of their bounds large; it sets no limit to the rows.
+MOST_RANGES = 10_000
+
+
 def number_newest_first(
     df: DataFrame,
     keys: list[str],
@@ -30,12 +34,12 @@ def number_newest_first(
     times each time, as a scan or a stored frame does.
     """
     newest = [F.desc_nulls_last(time), F.desc(tie)]
-    ranges = ceil(df.count() / rows_per_task)
+    ranges = min(ceil(df.count() / rows_per_task), MOST_RANGES)
     if ranges <= 1:
         return df.withColumn(output, F.row_number().over(Window.partitionBy(*keys).orderBy(*newest)))
 
     moment = as_number(df, time)
-    bounds = quantile_bounds(df, {"moment": moment}, ranges)["moment"]
+    bounds = quantile_bounds(df, {"moment": moment}, ranges, error=1 / (4 * ranges))["moment"]
     ranged = with_range_bucket(df, moment, bounds, "_range")
     # The last bucket holds the rows without a time; they come after all others.
     position = F.when(F.col(time).isNull(), F.lit(-1)).otherwise(F.col("_range"))

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.errors import ArithmeticException, DateTimeException, NumberFormatException, SparkRuntimeException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sluiceway import storage
@@ -99,26 +99,31 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def _stage(df: DataFrame, target: dict, suite: Suite) -> tuple[str, int, dict | None]:
-    spark = df.sparkSession
-    path = target["path"]
+    """Folder, number of rows and values of the rules; no values if a rule fails on the data."""
+    measures = suite.columns()
+    try:
+        return _write_staged(df, target, measures)
+    except DATA_ERRORS:
+        if not measures:
+            raise
+        staged, rows, _ = _write_staged(df, target, [])
+        return staged, rows, None
+
+
+def _write_staged(df: DataFrame, target: dict, measures: list[Column]) -> tuple[str, int, dict]:
+    spark, path = df.sparkSession, target["path"]
     in_place = target["type"] == "parquet" and not is_table_name(path)
+    staged = storage.sibling(path, "staged") if in_place else storage.new_folder(spark, "staged")
     columns = target.get("partition_by") or []
-    rows = F.count(F.lit(1)).alias("rows")
-    for measures in [suite.columns(), []]:
-        staged = storage.sibling(path, "staged") if in_place else storage.new_folder(spark, "staged")
-        seen = Observation()
-        try:
-            # The observation is the last operator before the writer, see write_checked.
-            merge.arranged(df, columns).observe(seen, rows, *measures).write.partitionBy(*columns).parquet(staged)
-        except DATA_ERRORS:
-            storage.remove(spark, staged)
-            if not measures:
-                raise
-            continue
-        values = seen.get
-        measured = bool(measures) or not suite.columns()
-        return staged, values["rows"], values if measured else None
-    raise SinkError("unreachable")
+    seen = Observation()
+    # The observation is the last operator before the writer, see write_checked.
+    observed = merge.arranged(df, columns).observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
+    try:
+        observed.write.partitionBy(*columns).parquet(staged)
+    except Exception:
+        storage.remove(spark, staged)
+        raise
+    return staged, seen.get["rows"], seen.get
 
 
 def _publish_staged(df: DataFrame, staged: str, rows: int, target: dict) -> WriteResult:
