@@ -23,7 +23,12 @@ def stream(spark, folder, name):
 def run(frame, spark, **settings):
     """Runs a stream into a new folder and reads that back."""
     folder = storage.new_folder(spark, "stream")
-    target = sinks.StreamTarget(path=f"{folder}/table", checkpoint=f"{folder}/checkpoint", **settings)
+    target = sinks.StreamTarget(
+        path=f"{folder}/table",
+        checkpoint=f"{folder}/checkpoint",
+        state_partitions=spark.sparkContext.defaultParallelism,
+        **settings,
+    )
     sinks.run(frame, target, SECONDS)
     return spark.read.schema(frame.schema).parquet(target.path)
 
@@ -223,7 +228,11 @@ def streaming_engagement(spark, folder):
         "pipeline": {"name": "streaming_user_engagement"},
         "sources": [{"name": "events", "type": "parquet", "path": path(folder, "events")}, *batch],
         "transformations": [profiles, *E6_STEPS],
-        "streaming": {"keys": ["user_id", "date"], "partition_by": ["date"]},
+        "streaming": {
+            "keys": ["user_id", "date"],
+            "partition_by": ["date"],
+            "state_partitions": spark.sparkContext.defaultParallelism,
+        },
         "validation": {"rules": user_engagement.RULES},
     }
     return rounded(runner.run(spark, spec, seconds=SECONDS).view)

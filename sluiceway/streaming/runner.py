@@ -59,8 +59,8 @@ def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int
     """Runs the streams of a spec over all files that are there, then builds the final view.
 
     ``spec["streaming"]`` may hold ``watermark`` (``{"column", "delay"}``), ``output_mode``,
-    ``keys`` and ``partition_by`` of the stored tables, ``checkpoint`` and ``continuous``. With the same
-    ``folder`` a second run reads only new files.
+    ``keys`` and ``partition_by`` of the stored tables, ``checkpoint``, ``state_partitions`` and
+    ``continuous``. With the same ``folder`` a second run reads only new files.
     """
     settings = spec.get("streaming") or {}
     if settings.get("continuous"):
@@ -120,6 +120,7 @@ def start_streams(spark: SparkSession, spec: dict, folder: str):
             keys=tuple(settings.get("keys") or ()) if stateful else (),
             partition_by=tuple(settings.get("partition_by") or ()) if stateful else (),
             continuous=bool(settings.get("continuous")),
+            state_partitions=settings.get("state_partitions"),
         )
         queries.append(sinks.start(frames[name], target))
         tables[name] = target.path

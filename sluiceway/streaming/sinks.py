@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway import storage
@@ -19,7 +20,9 @@ class StreamTarget:
     """Where a stream goes.
 
     ``append`` writes every row once; ``update`` upserts changed rows on ``keys``. A stream that is
-    not ``continuous`` reads what is there and ends.
+    not ``continuous`` reads what is there and ends. ``state_partitions`` is the number of state stores
+    per operator, fixed by the first run; without it the session's number of shuffle partitions counts.
+    Adaptive execution does not size them, so it should suit the cluster, such as its number of cores.
     """
 
     path: str
@@ -29,6 +32,7 @@ class StreamTarget:
     partition_by: tuple[str, ...] = ()
     continuous: bool = False
     interval: str = "30 seconds"
+    state_partitions: int | None = None
 
     def __post_init__(self):
         if self.output_mode not in OUTPUT_MODES:
@@ -45,8 +49,26 @@ def start(stream: DataFrame, target: StreamTarget) -> StreamingQuery:
     else:
         writer = writer.trigger(availableNow=True)
     if target.output_mode == "append":
-        return writer.partitionBy(*target.partition_by).format("parquet").option("path", target.path).start()
-    return writer.foreachBatch(_upsert_into(target)).start()
+        writer = writer.partitionBy(*target.partition_by).format("parquet").option("path", target.path)
+    else:
+        writer = writer.foreachBatch(_upsert_into(target))
+    with _shuffle_partitions(stream.sparkSession, target.state_partitions):
+        return writer.start()
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int | None):
+    """A query keeps the settings it was started with, so the session has its own back at once."""
+    if number is None:
+        yield
+        return
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def finish(query: StreamingQuery, seconds: int) -> None:

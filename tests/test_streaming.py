@@ -52,6 +52,17 @@ def test_incremental_runs_read_only_new_files(spark, tmp_path, partition_by):
     assert stored(spark, target) == AFTER_SECOND
 
 
+def test_state_partitions_are_those_of_the_target(spark, tmp_path):
+    put(spark, tmp_path / "in", FIRST)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    target = update_target(tmp_path, state_partitions=3)
+    query = sinks.start(user_engagement.daily_metrics(events(spark, tmp_path / "in")), target)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    sinks.finish(query, SECONDS)
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert stored(spark, target) == AFTER_FIRST
+
+
 def test_full_refresh_starts_over(spark, tmp_path):
     put(spark, tmp_path / "in", FIRST)
     target = update_target(tmp_path)
