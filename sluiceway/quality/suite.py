@@ -50,15 +50,29 @@ class Suite:
         check_rules(rules)
         self.rules = rules
         self.measured, self.broken = {}, {}
+        schema = df.schema
         for place, rule in enumerate(rules):
             if rule["type"] == "custom":
                 continue
             try:
-                self.measured[place] = measures_of(rule, df.schema)
-                df.agg(*self.columns_of(place))  # analysis only, no job
-            except (Unmeasurable, AnalysisException) as error:
-                self.measured.pop(place, None)
+                self.measured[place] = measures_of(rule, schema)
+            except Unmeasurable as error:
                 self.broken[place] = str(error)
+        if self.measured and self._misfit(df, self.columns()):
+            for place in list(self.measured):
+                error = self._misfit(df, self.columns_of(place))
+                if error:
+                    del self.measured[place]
+                    self.broken[place] = error
+
+    @staticmethod
+    def _misfit(df: DataFrame, columns: list[Column]) -> str | None:
+        """Why the columns do not fit the frame; this only analyzes a plan and runs no job."""
+        try:
+            df.agg(*columns)
+        except AnalysisException as error:
+            return str(error)
+        return None
 
     def columns_of(self, place: int) -> list[Column]:
         m = self.measured[place]
