@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
+import sluiceway
 from sluiceway import storage
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this library to the executors, whose Python workers need not have it installed."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(sluiceway.__file__))
+        folder = tempfile.mkdtemp(prefix="shipped-")  # the driver serves it as long as the session lasts
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        name = os.path.basename(package)
+        copied = shutil.copytree(package, f"{folder}/{name}/{name}", ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", os.path.dirname(copied)))
+        _shipped.add(application)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
