@@ -123,14 +123,14 @@ def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
     units = orders[1].groupBy("lang").agg(F.count("*").alias("units"))
     below = scratch.keep(units.select("lang", F.lit(0).cast("bigint").alias("ngram"), (1 / F.col("units")).alias("p")), "p0")
     for order in range(1, ORDER + 1):
-        below = scratch.keep(_order(orders[order], below, order), f"p{order}")
+        below = scratch.keep(_order(orders[order], below, order, scratch), f"p{order}")
     for order in range(ORDER):
         scratch.drop(f"p{order}")
         scratch.drop(f"count{order + 1}")
     return below.select("lang", "ngram", F.log("p").alias("logp"))
 
 
-def _order(counts: DataFrame, below: DataFrame, order: int) -> DataFrame:
+def _order(counts: DataFrame, below: DataFrame, order: int, scratch: Scratch) -> DataFrame:
     of = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).cast("double") for k in (1, 2, 3, 4)]
     found = counts.groupBy("lang").agg(*[c.alias(f"n{k}") for k, c in enumerate(of, 1)])
     usual = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
@@ -144,6 +144,8 @@ def _order(counts: DataFrame, below: DataFrame, order: int) -> DataFrame:
             for k in (1, 2, 3)
         ],
     )
+    # One row for each language; written, so that Spark knows its size and need not deal rows by language.
+    discounts = scratch.keep(discounts, "discounts")
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = counts.join(discounts, "lang").select(
         "lang", "ngram", "n", discount.alias("d"), F.shiftrightunsigned("ngram", UNIT).alias("prefix"),

@@ -108,6 +108,20 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def groups(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``doc_id, fp, group, component_id`` for rows of ``doc_id, fp``."""
+    distinct = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    parts = connected(links(distinct.select("fp"), scratch), scratch)
+    parts = scratch.keep(parts.select(F.col("node").alias("fp"), F.col("component").alias("group")), "groups")
+    labelled = distinct.join(parts, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    labelled = scratch.keep(labelled, "labelled")
+    first = scratch.keep(labelled.groupBy("group").agg(F.min("first").alias("component_id")), "first")
+    labels = scratch.keep(labelled.join(first, "group").select("fp", "group", "component_id"), "labels")
+    for name in ("blocks", "members", "links", "half", "least", "distinct", "groups", "labelled", "first"):
+        scratch.drop(name)
+    return rows.join(labels, "fp").select("doc_id", "fp", "group", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fp, group, component_id`` for every row of the documents.
 
@@ -117,17 +131,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     gives no rows, other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.keep(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "rows")
-    distinct = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    groups = connected(links(distinct.select("fp"), scratch), scratch)
-    groups = scratch.keep(groups.select(F.col("node").alias("fp"), F.col("component").alias("group")), "groups")
-    labelled = distinct.join(groups, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-    labelled = scratch.keep(labelled, "labelled")
-    first = scratch.keep(labelled.groupBy("group").agg(F.min("first").alias("component_id")), "first")
-    labels = scratch.keep(labelled.join(first, "group").select("fp", "group", "component_id"), "labels")
-    for name in ("blocks", "members", "links", "half", "least", "distinct", "groups", "labelled", "first"):
-        scratch.drop(name)
-    return rows.join(labels, "fp").select("doc_id", "fp", "group", "component_id")
+    return groups(scratch.keep(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "rows"), scratch)
 
 
 def hex_digits(column: str = "fp"):
@@ -137,11 +141,15 @@ def hex_digits(column: str = "fp"):
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each group the row with the smallest id stays.
 
-    Rows that share that id, and groups without ids, keep one row too. All columns are kept as they are.
+    Rows that share that id keep the one of the smallest fingerprint, groups without ids one row.
+    Which row stays is decided on ids and fingerprints; texts only move where they meet the rows that
+    stay, by id, so a group with a third of all rows is spread. All columns are kept as they are.
     """
-    named = near_duplicates(docs).select("fp", "group", F.col("component_id").alias("_first")).distinct()
-    tagged = with_fingerprint(docs, "_fp").join(
-        named.withColumnRenamed("fp", "_fp").withColumnRenamed("group", "_group"), "_fp"
-    )
-    kept = tagged.where(F.col("doc_id").eqNullSafe(F.col("_first")))
-    return kept.dropDuplicates(["_group"]).select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "dedup")
+    rows = scratch.keep(with_fingerprint(docs, "_fp"), "rows")
+    found = groups(rows.select("doc_id", F.col("_fp").alias("fp")), scratch)
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = stays.groupBy("group", F.col("component_id").alias("_first")).agg(F.min("fp").alias("_least")).drop("group")
+    stays = scratch.keep(stays, "stays")
+    kept = rows.join(stays, rows["doc_id"].eqNullSafe(stays["_first"]) & (rows["_fp"] == stays["_least"]))
+    return kept.dropDuplicates(["doc_id", "_fp"]).select(*docs.columns)
