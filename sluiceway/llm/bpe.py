@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose codes a Python worker keeps; beyond that it forgets all and starts anew.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 #: Longer pieces are encoded each time, so that the words kept have a bounded size.
 LONGEST_KEPT = 64
 #: Characters of texts whose words are encoded together.
-PIECE = 2_000_000
+PIECE = 1_000_000
 #: Letters of a word up to which words are merged side by side, and how many words at a time.
 LONGEST_TOGETHER = 33
 TOGETHER = 20_000
@@ -312,8 +312,6 @@ def _vocabulary(sent) -> Vocabulary:
     if sent.id not in _loaded:
         _loaded.clear()
         _loaded[sent.id] = Vocabulary(json.loads(sent.value))
-        # Words kept are plain tuples without cycles; looking through them for some takes a quarter of the time.
-        gc.disable()
     return _loaded[sent.id]
 
 
@@ -343,9 +341,14 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     @F.pandas_udf(kind)
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vocabulary = _vocabulary(sent)
-        for texts in batches:
-            rows = list(vocabulary.digests(texts))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        # Words kept are plain tuples without cycles; looking through them for some takes a quarter of the time.
+        gc.disable()
+        try:
+            for texts in batches:
+                rows = list(vocabulary.digests(texts))
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            gc.enable()
 
     return docs.select("doc_id", digest("text").alias("codes")).select("doc_id", "codes.*")
 

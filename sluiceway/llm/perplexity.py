@@ -22,8 +22,8 @@ from sluiceway.llm.scratch import Scratch
 ORDER = 4
 UNIT = 16
 #: Characters taken together in a task, and n-grams a task gathers before it sends them on.
-PIECE = 2_000_000
-GATHERED = 4_000_000
+PIECE = 1_000_000
+GATHERED = 2_000_000
 #: Most n-grams (16 bytes each) that are sent to every executor; a larger model is joined instead.
 MOST_SENT = 12_000_000
 #: Bands around the middle log perplexity of a language, as multiples of it.

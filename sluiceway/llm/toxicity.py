@@ -32,7 +32,7 @@ WINDOW = 6
 QUOTED = 0.3
 THRESHOLD = 0.3
 #: States kept of the automaton, and words known to hold no term, before a worker starts anew.
-MOST_STATES, WORDS_KEPT = 200_000, 300_000
+MOST_STATES, WORDS_KEPT = 50_000, 100_000
 
 # Words that report what others say, and marks that open or close a quotation.
 REPORTING = {"said", "says", "called", "calls", "wrote", "quote", "quoted", "word", "term", "insult", "slur", "sagte", "nannte", "wort",
