@@ -143,7 +143,8 @@ def distinct_estimates(spark, folder):
 
 def drawn(id: str, stream: int, n: int) -> str:
     """SQL of ``synthetic.draw``."""
-    folded = f"({id} % {synthetic.FOLD} + {1 + stream * synthetic.STRIDE})"
+    beyond = f"({id} // {synthetic.FOLD}) % {synthetic.FOLD} * {synthetic.SHIFT + stream * synthetic.STEP}"
+    folded = f"(({id} % {synthetic.FOLD} + {1 + stream * synthetic.STRIDE} + {beyond}) % {synthetic.MODULUS})"
     once = f"(({folded} * {synthetic.MULTIPLIER}) % {synthetic.MODULUS})"
     return f"((({once} * {synthetic.MULTIPLIER}) % {synthetic.MODULUS}) // 1024 % {n})"
 

@@ -13,7 +13,7 @@ from sluiceway.quality.expectations import keep_valid
 from sluiceway.sources.readers import read_stream
 from sluiceway.streaming import engagement, runner, sinks
 
-SECONDS = 600
+SECONDS = None
 
 
 def stream(spark, folder, name):
@@ -163,21 +163,24 @@ def stream_join(spark, folder):
     return stored.withColumns(times)
 
 
+DAILY_SQL = """
+    SELECT user_id, to_date(ts) AS date, count(1) AS total_events,
+           {kinds} AS unique_event_types,
+           count_if(event_type = 'view') AS page_views, count_if(event_type = 'click') AS clicks,
+           count_if(event_type = 'purchase') AS purchases,
+           sum(if(event_type = 'purchase', value, 0)) AS total_revenue,
+           min(ts) AS first_event_time, max(ts) AS last_event_time
+    FROM events GROUP BY user_id, to_date(ts)
+"""
+
 E6_STEPS = [
     {
         "name": "daily",
         "type": "sql",
         "inputs": ["events"],
         "output": "daily_metrics",
-        "sql": """
-            SELECT user_id, to_date(ts) AS date, count(1) AS total_events,
-                   count(DISTINCT event_type) AS unique_event_types,
-                   count_if(event_type = 'view') AS page_views, count_if(event_type = 'click') AS clicks,
-                   count_if(event_type = 'purchase') AS purchases,
-                   sum(if(event_type = 'purchase', value, 0)) AS total_revenue,
-                   min(ts) AS first_event_time, max(ts) AS last_event_time
-            FROM events GROUP BY user_id, to_date(ts)
-        """,
+        "sql": DAILY_SQL.format(kinds="count(DISTINCT event_type)"),
+        "streaming_sql": DAILY_SQL.format(kinds="approx_count_distinct(event_type)"),
     },
     {
         "name": "duration",

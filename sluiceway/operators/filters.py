@@ -35,5 +35,8 @@ def sample(df: DataFrame, fraction: float, key: str | list[str] | None = None, s
     if key is None:
         return df.sample(fraction=fraction, seed=seed)
     keys = [key] if isinstance(key, str) else key
-    place = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
-    return df.where(place < int(fraction * 1_000_000))
+    if fraction >= 1:
+        return df
+    # The hash without its sign has 63 bits, so that no fraction is too small to be told from none.
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 1)
+    return df.where(place < int(fraction * 2**63))

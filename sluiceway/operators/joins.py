@@ -2,7 +2,7 @@
 
 Adaptive execution splits a skewed partition of an inner join on both sides, of a left or right join only
 on the side that keeps all its rows, and of a full outer join on neither. ``split_outer`` rewrites outer
-joins into parts that can be split.
+joins into parts that can be split, where that is asked for.
 """
 
 from __future__ import annotations
@@ -21,15 +21,14 @@ def join(
     """Join on equally named columns, each of which appears once in the result.
 
     A semi or anti join only asks whether a key exists, so the right side is reduced to its
-    distinct keys first: the reduction starts before the shuffle and a hot key moves once. A full
-    outer join is always done in parts; ``split`` does so for a left or right join whose other side
-    may have a hot key.
+    distinct keys first: the reduction starts before the shuffle and a hot key moves once. ``split``
+    does an outer join in parts, for sides that may have a hot key; that reads them more than once.
     """
     keys = as_list(on)
     word = how.lower().replace("_", "").removesuffix("outer") or "outer"
     if word in {"semi", "leftsemi", "anti", "leftanti"}:
         right = right.select(*keys).distinct()
-    if word in {"outer", "full"} or (split and word in {"left", "right"}):
+    if split and word in {"outer", "full", "left", "right"}:
         return split_outer(left, right, keys, "outer" if word == "full" else word)
     return left.join(right, on=keys, how=how)
 
@@ -38,8 +37,9 @@ def split_outer(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     """Left, right or full outer join as matches plus the rows without a match.
 
     Adaptive execution can split a hot key on either side of the inner join and on the row side of the
-    anti joins, which read the other side as distinct keys. The parts read the same shuffles of both
-    sides. Rows with a null key never match and stay out of the shuffles.
+    anti joins, which read the other side as distinct keys. Each part reads its sides, so they should
+    be tables. Rows with a null key never match and stay out of the shuffles. Equal names that are
+    no keys come from either side, as in a plain join.
     """
     keys = as_list(on)
     known = F.lit(True)
@@ -55,24 +55,25 @@ def split_outer(left: DataFrame, right: DataFrame, on: str | list[str], how: str
         without = frame.where(known).join(other.where(known).select(*keys).distinct(), keys, "left_anti")
         return without.unionByName(frame.where(~known))
 
-    result = left.join(right, keys, "inner").select(*keys, *rest_left, *rest_right)
+    sides = [F.col(f"l.{c}") for c in rest_left] + [F.col(f"r.{c}") for c in rest_right]
+    result = left.alias("l").join(right.alias("r"), keys, "inner").select(*keys, *sides)
     if how in ("left", "outer"):
-        result = result.unionByName(alone(left, right).select(*keys, *rest_left, *missing(right, rest_right)))
+        result = result.union(alone(left, right).select(*keys, *rest_left, *missing(right, rest_right)))
     if how in ("right", "outer"):
-        result = result.unionByName(alone(right, left).select(*keys, *missing(left, rest_left), *rest_right))
+        result = result.union(alone(right, left).select(*keys, *missing(left, rest_left), *rest_right))
     return result
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Marks the frame for a broadcast only if it is proven to have at most ``max_rows`` rows.
+def broadcast_if_small(small: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Marks the frame for a broadcast only if it is proven to have few rows that are few bytes as JSON.
 
-    The check reads no more than ``max_rows + 1`` rows, so it is meant for tables and stored frames;
-    for the result of a large plan it would run that plan. A larger frame comes back unmarked and
-    the join shuffles it.
+    The check is a job of its own that reads no more than ``max_rows + 1`` rows, so it is meant for
+    tables and stored frames; for the result of a large plan it would run that plan. A larger frame
+    comes back unmarked and the join shuffles it.
     """
-    if small.limit(max_rows + 1).count() > max_rows:
-        return small
-    return F.broadcast(small)
+    size = F.sum(F.octet_length(F.to_json(F.struct(*small.columns))))
+    rows, found = small.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return small if rows > max_rows or (found or 0) > max_bytes else F.broadcast(small)
 
 
 def star(fact: DataFrame, dimensions: list[tuple[DataFrame, str]], how: str = "left") -> DataFrame:

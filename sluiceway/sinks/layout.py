@@ -6,8 +6,10 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway import storage
+from sluiceway.sinks import merge
 from sluiceway.functions.buckets import as_number, quantile_bounds, with_range_bucket
 
 FILE_BYTES = 256 * 1024 * 1024
@@ -61,7 +63,8 @@ def compact(
     gathered by a rebalance, which splits a value that is too large for one task.
     """
     storage.recover(spark, path)
-    df = spark.read.parquet(path)
+    # Read as text, partition values come out as they went in.
+    df = merge.read_as(spark, path, {column: T.StringType() for column in partition_by or []})
     files = max(1, ceil(storage.size_in_bytes(spark, path) / file_bytes))
     if zorder_by:
         df = clustered(df, zorder_by, files, partition_by)

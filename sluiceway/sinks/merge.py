@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway import storage
 from sluiceway.errors import SinkError
 
-# More touched partitions than this are not listed in a filter; the whole target is read then.
-LISTED_PARTITIONS = 5_000
+# Up to this many touched partitions are listed in a filter, which Spark prunes folders by; more are found by a join.
+LISTED_PARTITIONS = 1_000
 
 
 def _known(keys: list[str]) -> Column:
@@ -43,11 +44,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(keyless).unionByName(source)
 
 
-def touched(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame | None:
-    """Target rows in the partitions the source has rows for; None if those are too many to list."""
-    found = source.select(*columns).distinct().limit(LISTED_PARTITIONS + 1).collect()
+def touched(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
+    """Target rows in the partitions the source has rows for."""
+    values = source.select(*columns).distinct()
+    found = values.limit(LISTED_PARTITIONS + 1).collect()
     if len(found) > LISTED_PARTITIONS:
-        return None
+        named = values.select(*[F.col(c).alias(f"_touched_{c}") for c in columns])
+        same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in columns]
+        return target.join(named, reduce(lambda a, b: a & b, same), "left_semi")
     if not found:
         return target.limit(0)
     if len(columns) == 1:
@@ -59,7 +63,22 @@ def touched(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFra
     tests = [
         reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in found
     ]
-    return target.where(reduce(lambda a, b: a | b, tests))
+    return target.where(_any(tests))
+
+
+def _any(tests: list[Column]) -> Column:
+    """Tests joined by OR as a balanced tree; a chain of a thousand would overflow the stack."""
+    if len(tests) == 1:
+        return tests[0]
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:])
+
+
+def read_as(spark: SparkSession, path: str, partitions: dict[str, T.DataType]) -> DataFrame:
+    """A folder whose partition columns have the given types; by their names alone, '01' would become 1."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, partitions.get(f.name, f.dataType)) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def merge_folder(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
@@ -78,10 +97,8 @@ def merge_folder(source: DataFrame, path: str, keys: list[str], partition_by: li
         arranged(source, partition_by).write.partitionBy(*partition_by).parquet(staged)
         storage.swap_in(spark, staged, path)
         return
-    target = spark.read.parquet(path)
-    affected = touched(target, like_target(source, target), partition_by) if by_part else None
-    if affected is None:
-        affected, depth = target, 0
+    target = read_as(spark, path, {c: source.schema[c].dataType for c in partition_by if c in source.columns})
+    affected = touched(target, like_target(source, target), partition_by) if by_part else target
     merged = arranged(upsert(affected, source, keys), partition_by)
     merged.write.partitionBy(*partition_by).parquet(staged)
     storage.swap_in(spark, staged, path, depth)

@@ -30,11 +30,15 @@ FOLD = 1_000_003
 MODULUS = 2_147_483_647
 MULTIPLIER = 48_271
 STRIDE = 7_919
+# Ids beyond the first FOLD shift each stream by a step of its own, so that rows do not repeat.
+SHIFT = 7_368_787
+STEP = 104_729
 
 
 def draw(id: Column, stream: int, n: int) -> Column:
     """Number from 0 to ``n - 1`` for an id; each stream number is a sequence of its own."""
-    folded = F.pmod(id, F.lit(FOLD)) + F.lit(1 + stream * STRIDE)
+    beyond = F.pmod(F.floor(id / F.lit(FOLD)).cast("bigint"), F.lit(FOLD)) * F.lit(SHIFT + stream * STEP)
+    folded = F.pmod(F.pmod(id, F.lit(FOLD)) + F.lit(1 + stream * STRIDE) + beyond, F.lit(MODULUS))
     once = F.pmod(folded * MULTIPLIER, F.lit(MODULUS))
     twice = F.pmod(once * MULTIPLIER, F.lit(MODULUS))
     return F.pmod(F.floor(twice / 1024).cast("bigint"), F.lit(n))

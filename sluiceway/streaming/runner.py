@@ -55,7 +55,7 @@ class StreamRun:
     kinds: dict[str, str]
 
 
-def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int = 86_400) -> StreamRun:
+def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int | None = None) -> StreamRun:
     """Runs the streams of a spec over all files that are there, then builds the final view.
 
     ``spec["streaming"]`` may hold ``watermark`` (``{"column", "delay"}``), ``output_mode``,

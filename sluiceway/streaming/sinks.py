@@ -71,14 +71,16 @@ def _shuffle_partitions(spark: SparkSession, number: int | None):
         spark.conf.set(setting, before)
 
 
-def finish(query: StreamingQuery, seconds: int) -> None:
-    """Waits for a query that ends by itself; one that does not end in time is stopped."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Waits for a query that ends by itself; with a limit, one that does not end in time is stopped."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"the stream did not end within {seconds} seconds")
 
 
-def run(stream: DataFrame, target: StreamTarget, seconds: int = 86_400) -> None:
+def run(stream: DataFrame, target: StreamTarget, seconds: int | None = None) -> None:
     finish(start(stream, target), seconds)
 
 
@@ -101,7 +103,7 @@ def _upsert_into(target: StreamTarget):
     return upsert
 
 
-def refresh(stream: DataFrame, target: StreamTarget, seconds: int = 86_400) -> StreamTarget:
+def refresh(stream: DataFrame, target: StreamTarget, seconds: int | None = None) -> StreamTarget:
     """Rebuilds a target from all files of its sources, with state from scratch.
 
     The folder and its checkpoint are removed first; sources keep their files, so nothing is lost.

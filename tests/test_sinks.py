@@ -222,7 +222,7 @@ def test_partitioned_merge_touches_only_its_partitions(spark, tmp_path, monkeypa
     write(spark.createDataFrame(changes, schema), wanted)
     found = {(row.id, row.part, row.v) for row in spark.read.parquet(wanted["path"]).collect()}
     assert found == {(1, "a", 10), (2, "a", 21), (3, "b", 30), (4, None, 40), (5, "c", 50), (4, None, 41)}
-    assert (files(tmp_path / "t" / "part=b") == untouched) == (listed > 1)
+    assert files(tmp_path / "t" / "part=b") == untouched
 
 
 def test_merge_on_two_partition_columns(spark, tmp_path):

@@ -5,7 +5,7 @@ from sluiceway.errors import StepError
 from sluiceway.functions import columns
 from sluiceway.operators.filters import by_threshold
 from sluiceway.plans import steps
-from sluiceway.plans.steps import apply_step, chain, for_streams, prepare
+from sluiceway.plans.steps import apply_step, chain, prepare
 
 
 def step(kind, inputs=("people",), **rest):
@@ -140,12 +140,6 @@ def test_registry(spark, people):
     assert {"sql", "python", "filter", "join", "aggregate"} <= set(steps.step_types())
 
 
-def test_distinct_counts_in_streaming_sql():
-    assert for_streams("SELECT COUNT(DISTINCT kind) FROM e") == "SELECT approx_count_distinct(kind) FROM e"
-    assert for_streams("SELECT count( distinct e.kind )") == "SELECT approx_count_distinct(e.kind)"
-    assert for_streams("SELECT count(kind)") == "SELECT count(kind)"
-
-
 def test_threshold_words(spark):
     frame = spark.createDataFrame([(v,) for v in (50, 150, 300, 600, 1000)], ["value"])
     assert [by_threshold(frame, "value", t).count() for t in (0, 100, 500)] == [5, 4, 2]

