@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from sluiceway.llm import mixing, reply_trees, style_tree, url_rules
+from sluiceway.llm.queries import QUERIES
 from sluiceway.llm.scratch import Scratch
 
 
@@ -98,6 +99,13 @@ def test_page_text(spark):
     assert style_tree.extracted(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op1_fingerprints", "op5_url_rules", "op6_mixing", "op8_reply_trees"])
+def test_native_operators_run_no_python(spark, name):
+    found = QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and rows[0].asDict().keys() == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
