@@ -156,7 +156,7 @@ def stream_join(spark, folder):
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
     )
     joined = engagement.join_in_range(
-        orders, lines, "o_orderkey", "o_orderdate", "l_shipdate", "365 DAYS", "1 day", salts=4
+        orders, lines, "o_orderkey", "o_orderdate", "l_shipdate", "365 DAYS", "1 day", salts=1
     )
     stored = run(joined, spark)
     times = {name: F.col(name).cast("timestamp_ntz") for name in ("o_orderdate", "l_shipdate")}
