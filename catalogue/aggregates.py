@@ -185,8 +185,11 @@ def exact_percentile(spark, folder):
 @query(
     "a19_collect_values",
     """
-    SELECT user_id, CAST(ts AS DATE) AS "date", 0 AS chunk, string_agg(k, ',' ORDER BY k) AS products
-    FROM (SELECT *, lpad(json_extract_string(props, '$.k'), 6, '0') AS k FROM events) GROUP BY ALL
+    SELECT user_id, "date", (place - 1) // 100000 AS chunk, string_agg(k, ',' ORDER BY k) AS products
+    FROM (SELECT user_id, CAST(ts AS DATE) AS "date", lpad(json_extract_string(props, '$.k'), 6, '0') AS k,
+                 row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY k, event_id) AS place
+          FROM events)
+    GROUP BY ALL
     """,
 )
 def collect_values(spark, folder):
@@ -196,7 +199,7 @@ def collect_values(spark, folder):
         F.to_date("ts").alias("date"),
         F.lpad(F.get_json_object("props", "$.k"), 6, "0").alias("k"),
     )
-    found = a.collect_values(events, ["user_id", "date"], "k", "event_id", "products")
+    found = a.collect_values(events, ["user_id", "date"], "k", "event_id", 100_000, "products")
     return found.withColumn("products", F.array_join("products", ","))
 
 

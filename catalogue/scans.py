@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.registry import query
 from sluiceway import entities as e
 from sluiceway import storage
-from sluiceway.plans import runner, user_engagement
+from sluiceway.plans import product_performance, runner, segment_performance, user_engagement
 from sluiceway.sinks import layout, merge, writer
 from sluiceway.sources import inventory, synthetic
 from sluiceway.sources.readers import read_source, read_sources, source_mode
@@ -367,6 +367,57 @@ def engagement_spec(folder, target):
     return {**spec, "sources": sources, "transformations": [*made, *spec["transformations"]]}
 
 
+def made_spec(spec, folder):
+    """A spec with steps in front that make its named sources of the tables."""
+    inputs = {
+        "events": ["events"], "products": ["part"], "transactions": ["lineitem", "orders"],
+        "user_profiles": ["customer", "nation", "orders"],
+    }
+    functions = {"events": "as_user_events"}
+    wanted = [source["name"] for source in spec["sources"]]
+    tables = list(dict.fromkeys(table for name in wanted for table in inputs[name]))
+    made = [adapter(name, functions.get(name, f"as_{name}"), inputs[name]) for name in wanted]
+    sources = [{"name": t, "type": "parquet", "path": path(folder, t), "schema": e.SCHEMAS[t]} for t in tables]
+    return {**spec, "sources": sources, "transformations": [*made, *spec["transformations"]]}
+
+
+def performance_specs(folder, target):
+    none = {"type": "parquet", "path": "made by a step"}
+    return {
+        plan.__name__.rpartition(".")[2]: made_spec(plan.spec(none, none, none, f"{target}/{n}"), folder)
+        for n, plan in enumerate((product_performance, segment_performance))
+    }
+
+
+def run_performance(spark, folder, name):
+    spec = performance_specs(folder, storage.new_folder(spark, "target"))[name]
+    outcome = runner.run(spark, spec)
+    assert outcome.status == "success", outcome.error
+    return spark.read.parquet(spec["target"]["path"])
+
+
+@query(
+    "g2_run_product_spec",
+    "SELECT * REPLACE (round(total_revenue, 2) AS total_revenue) FROM product_performance",
+    ["product_performance"],
+)
+def run_product_spec(spark, folder):
+    found = run_performance(spark, folder, "product_performance")
+    return found.withColumn("total_revenue", F.round("total_revenue", 2))
+
+
+@query(
+    "g3_run_segment_spec",
+    "SELECT * REPLACE (round(total_revenue, 2) AS total_revenue, round(avg_revenue_per_user, 6) AS avg_revenue_per_user, "
+    "round(avg_transaction_value, 6) AS avg_transaction_value) FROM segment_performance",
+    ["segment_performance"],
+)
+def run_segment_spec(spark, folder):
+    digits = {"total_revenue": 2, "avg_revenue_per_user": 6, "avg_transaction_value": 6}
+    found = run_performance(spark, folder, "segment_performance")
+    return found.withColumns({name: F.round(name, n) for name, n in digits.items()})
+
+
 def adapter(output, function, inputs):
     function = f"sluiceway.entities.{function}"
     return {"name": output, "type": "python", "inputs": inputs, "output": output, "function": function}

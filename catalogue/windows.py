@@ -11,8 +11,8 @@ from sluiceway.operators import aggregates, ranking
 
 @query(
     "n1_row_number",
-    "SELECT event_id, user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) "
-    "AS INTEGER) AS event_rank FROM events",
+    "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS event_rank "
+    "FROM events",
 )
 def row_number(spark, folder):
     events = e.table(spark, folder, "events").select("event_id", "user_id", "ts")
@@ -21,8 +21,8 @@ def row_number(spark, folder):
 
 @query(
     "n1_row_number_ranges",
-    "SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, CAST(row_number() OVER (PARTITION BY l_returnflag "
-    "ORDER BY l_extendedprice DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC) AS INTEGER) AS place "
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, row_number() OVER (PARTITION BY l_returnflag "
+    "ORDER BY l_extendedprice DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC) AS place "
     "FROM lineitem",
 )
 def row_number_ranges(spark, folder):

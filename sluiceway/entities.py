@@ -88,8 +88,8 @@ def user_profiles(spark: SparkSession, folder: str) -> DataFrame:
     return as_user_profiles(*(table(spark, folder, name) for name in ("customer", "nation", "orders")))
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
+def as_products(part: DataFrame) -> DataFrame:
+    return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -97,26 +97,26 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"),
-        F.col("o_custkey").alias("user_id"),
-        F.when(F.col("o_orderstatus") == "F", STATUS_NAMES["F"])
-        .when(F.col("o_orderstatus") == "O", STATUS_NAMES["O"])
-        .otherwise("cancelled")
-        .alias("status"),
-    )
-    return (
-        table(spark, folder, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-        .join(orders, "l_orderkey")
-        .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("line"),
-            "user_id",
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").alias("quantity"),
-            F.col("l_extendedprice").alias("total_amount"),
-            "status",
-        )
+def products(spark: SparkSession, folder: str) -> DataFrame:
+    return as_products(table(spark, folder, "part"))
+
+
+def as_transactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per line, with buyer and status of its order."""
+    status = F.col("o_orderstatus")
+    named = F.when(status == "F", STATUS_NAMES["F"]).when(status == "O", STATUS_NAMES["O"]).otherwise("cancelled")
+    buyers = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"), named.alias("status"))
+    lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    return lines.join(buyers, "l_orderkey").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        "user_id",
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("total_amount"),
+        "status",
     )
+
+
+def transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return as_transactions(table(spark, folder, "lineitem"), table(spark, folder, "orders"))

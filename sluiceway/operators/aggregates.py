@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.columns import half_up
+from sluiceway.operators.ranking import numbered
 
 # Function names the aggregate step knows.
 FUNCTIONS = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max}
@@ -36,32 +37,17 @@ def pivot_counts(df: DataFrame, keys: list[str], column: str, values: list) -> D
 
 
 def collect_values(
-    df: DataFrame, keys: list[str], value: str, row_id: str, output: str = "items", limit: int = 100_000
+    df: DataFrame, keys: list[str], value: str, row_id: str, size: int, output: str = "items"
 ) -> DataFrame:
-    """Sorted array of the values of each key, cut into several rows where a key is very large.
+    """Sorted arrays of the values of each key, one row per key and ``chunk``.
 
-    An ordinary key has one row with ``chunk`` 0. A key with more than ``limit`` values is spread
-    by its row ids over as many chunks as keep each near ``limit``, so no task and no array has to
-    hold the whole key. All values are kept.
+    Chunk 0 holds the first ``size`` values of a key in order, chunk 1 the next and so on, so that no
+    array is longer than ``size`` and the chunks in order are the whole sorted list. Equal values go
+    by ``row_id``; nulls are left out. Large keys are put in order by several tasks, see ``numbered``.
     """
-    rows = df.where(F.col(value).isNotNull())
-    big = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .withColumn("_chunks", F.ceil(F.col("_rows") / limit))
-        .drop("_rows")
-    )
-    known = F.lit(True)
-    for key in keys:
-        known = known & F.col(f"r.{key}").eqNullSafe(F.col(f"b.{key}"))
-    spread = F.pmod(F.xxhash64(F.col(f"r.{row_id}")), F.col("_chunks"))
-    chunked = rows.alias("r").join(big.alias("b"), known, "left").select(
-        *[F.col(f"r.{key}") for key in keys],
-        F.col(f"r.{value}").alias("_value"),
-        F.coalesce(spread, F.lit(0)).cast("int").alias("chunk"),
-    )
-    return chunked.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("_value")).alias(output))
+    rows = numbered(df.where(F.col(value).isNotNull()), keys, [F.asc(value), F.asc(row_id)], "_place")
+    chunk = F.floor((F.col("_place") - 1) / size).alias("chunk")
+    return rows.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(value)).alias(output))
 
 
 def exact_percentile(

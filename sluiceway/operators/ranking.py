@@ -8,58 +8,57 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.functions.buckets import as_number, quantile_bounds, with_range_bucket
+from sluiceway import storage
 
+ROWS_PER_TASK = 5_000_000
 
-# More ranges than this would make the list of their bounds large; it sets no limit to the rows.
-MOST_RANGES = 10_000
 
+def numbered(df: DataFrame, keys: list[str], order: list[Column], output: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Row number (a 64-bit one) within each key in the given order.
 
-def number_newest_first(
-    df: DataFrame,
-    keys: list[str],
-    time: str,
-    tie: str,
-    output: str = "event_rank",
-    rows_per_task: int = 5_000_000,
-) -> DataFrame:
-    """Row number within each key, newest first, equal times by descending ``tie``.
-
-    A plain window sorts all rows of a key in one task. Beyond ``rows_per_task`` rows the time
-    axis is cut into ranges of about that many rows; a key is then numbered range by range, and
-    each range starts from the number of newer rows of its key. Those counts are aggregated
-    before the shuffle and hold one row per key and range.
+    A plain window sorts all rows of a key in one task, which suits keys of up to ``rows_per_task``
+    rows. Rows of larger keys are cut by Spark's range partitioning on key and order into ranges of
+    about that many rows, so text and equal leading values are cut as well; only rows equal in the
+    whole order stay together. A range starts from the number of its key's rows in the ranges before.
 
-    The frame is read once more for the bounds and once for the counts, and has to give the same
-    times each time, as a scan or a stored frame does.
+    Rows per key are counted by a job while the plan is built, and the rows of larger keys are stored
+    in the shared folder. The frame is read more than once and has to give the same rows each time,
+    as a scan or a stored frame does.
     """
-    newest = [F.desc_nulls_last(time), F.desc(tie)]
-    ranges = min(ceil(df.count() / rows_per_task), MOST_RANGES)
-    if ranges <= 1:
-        return df.withColumn(output, F.row_number().over(Window.partitionBy(*keys).orderBy(*newest)))
-
-    moment = as_number(df, time)
-    bounds = quantile_bounds(df, {"moment": moment}, ranges, error=1 / (4 * ranges))["moment"]
-    ranged = with_range_bucket(df, moment, bounds, "_range")
-    # The last bucket holds the rows without a time; they come after all others.
-    position = F.when(F.col(time).isNull(), F.lit(-1)).otherwise(F.col("_range"))
-    ranged = ranged.withColumn("_range", position)
-    newer = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = storage.stored(counts.where(F.col("_rows") > rows_per_task))
+    total = large.agg(F.sum("_rows")).first()[0]
+    if total is None:
+        return df.withColumn(output, place)
+
+    same = _same(keys)
+    small = df.alias("r").join(large.alias("s"), same, "left_anti").withColumn(output, place)
+    rows = df.alias("r").join(large.alias("s"), same, "left_semi")
+    ranges = rows.repartitionByRange(ceil(total / rows_per_task), *keys, *order)
+    ranged = storage.stored(ranges.withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy(*keys, "_range")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_range", F.coalesce(F.sum("_rows").over(newer), F.lit(0)).alias("_newer"))
+        .select(*keys, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy(*keys, "_range").orderBy(*newest)
-    number = (F.col("_newer") + F.row_number().over(within)).cast("int")
-
-    # Rows without a null key join on plain equality, whose shuffle the window uses as well.
-    known = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
-    plain = ranged.where(known).join(starts, [*keys, "_range"])
-    same = [F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}")) for key in [*keys, "_range"]]
-    keyless = ranged.where(~known).alias("r").join(starts.where(~known).alias("s"), same).select("r.*", "s._newer")
-    parts = [part.withColumn(output, number).drop("_range", "_newer") for part in (plain, keyless)]
-    return parts[0].unionByName(parts[1]).select(*df.columns, output)
+    within = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
+    joined = ranged.alias("r").join(starts.alias("s"), _same([*keys, "_range"])).select("r.*", "s._before")
+    placed = joined.withColumn(output, F.col("_before") + within).drop("_range", "_before")
+    return small.unionByName(placed)
+
+
+def _same(keys: list[str]) -> Column:
+    """Equal keys of the frames ``r`` and ``s``, where null keys are equal as in a grouping."""
+    return reduce(lambda a, b: a & b, [F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}")) for key in keys])
+
+
+def number_newest_first(
+    df: DataFrame, keys: list[str], time: str, tie: str, output: str = "event_rank", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Row number within each key, newest first, equal times by descending ``tie``; see ``numbered``."""
+    return numbered(df, keys, [F.desc_nulls_last(time), F.desc(tie)], output, rows_per_task)
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -61,3 +61,23 @@ def product_performance(products: DataFrame, events: DataFrame, transactions: Da
             "avg_revenue_per_unit": F.when(F.col("total_quantity_sold") > 0, per_unit).otherwise(F.lit(0.0)),
         }
     )
+
+
+def spec(products: dict, events: dict, transactions: dict, target: str, name: str = "product_performance") -> dict:
+    """Spec that runs the plan from three source dicts into a folder, which is optimized after the write."""
+    sources = {"products": products, "events": events, "transactions": transactions}
+    return {
+        "pipeline": {"name": name},
+        "sources": [{**source, "name": key} for key, source in sources.items()],
+        "transformations": [
+            {
+                "name": "product_performance",
+                "type": "python",
+                "inputs": list(sources),
+                "output": "product_performance",
+                "function": "sluiceway.plans.product_performance.product_performance",
+            }
+        ],
+        "validation": {"enabled": True, "fail_on_error": True, "rules": RULES},
+        "target": {"type": "parquet", "path": target, "mode": "overwrite", "optimize": {"enabled": True}},
+    }

@@ -62,3 +62,23 @@ def segment_performance(profiles: DataFrame, events: DataFrame, transactions: Da
         F.avg("avg_transaction_value").alias("avg_transaction_value"),
     )
     return totals.withColumn("engagement_score", half_up(weighted(SCORE)))
+
+
+def spec(user_profiles: dict, events: dict, transactions: dict, target: str, name: str = "segment_performance") -> dict:
+    """Spec that runs the plan from three source dicts into a folder, which is optimized after the write."""
+    sources = {"user_profiles": user_profiles, "events": events, "transactions": transactions}
+    return {
+        "pipeline": {"name": name},
+        "sources": [{**source, "name": key} for key, source in sources.items()],
+        "transformations": [
+            {
+                "name": "segment_performance",
+                "type": "python",
+                "inputs": list(sources),
+                "output": "segment_performance",
+                "function": "sluiceway.plans.segment_performance.segment_performance",
+            }
+        ],
+        "validation": {"enabled": True, "fail_on_error": True, "rules": RULES},
+        "target": {"type": "parquet", "path": target, "mode": "overwrite", "optimize": {"enabled": True}},
+    }

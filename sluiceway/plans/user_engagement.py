@@ -13,7 +13,15 @@ from sluiceway.operators.filters import active_users
 COUNTED = {"page_views": "page_view", "clicks": "click", "purchases": "purchase"}
 SCORE = {"page_views": 1, "clicks": 2, "purchases": 10}
 
-# Rules of the daily result.
+# Rules of the result of active users.
+ACTIVE_RULES = [
+    {"name": "user_id_not_null", "type": "null_check", "column": "user_id", "threshold": 0.0},
+    {"name": "positive_events", "type": "range_check", "column": "total_events", "min_value": 1},
+    {"name": "valid_engagement_score", "type": "range_check", "column": "engagement_score", "min_value": 0, "max_value": 10000},
+    {"name": "minimum_records", "type": "row_count", "min_count": 1},
+]
+
+# Rules of the daily result of all users.
 RULES = [
     {"name": "check_user_id_not_null", "type": "null_check", "column": "user_id", "threshold": 0.0},
     {"name": "check_positive_events", "type": "range_check", "column": "total_events", "min_value": 1},
@@ -121,6 +129,6 @@ def spec(events: dict, profiles: dict, target: str, min_events: int = 3, name: s
                 "params": {"min_events": min_events},
             },
         ],
-        "validation": {"enabled": True, "fail_on_error": True, "rules": RULES},
+        "validation": {"enabled": True, "fail_on_error": True, "rules": ACTIVE_RULES},
         "target": {"type": "parquet", "path": target, "mode": "overwrite", "partition_by": ["date"]},
     }

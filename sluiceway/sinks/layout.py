@@ -1,4 +1,4 @@
-"""File layout of a written folder: fewer files, or rows clustered on several columns."""
+"""File layout of a written folder: fewer files, or rows sorted into ranges."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from sluiceway import storage
 from sluiceway.sinks import merge
-from sluiceway.functions.buckets import as_number, quantile_bounds, with_range_bucket
 
 FILE_BYTES = 256 * 1024 * 1024
 
@@ -25,29 +24,14 @@ def interleave(places: list[Column], bits: int) -> Column:
     return value
 
 
-def with_z_value(df: DataFrame, columns: list[str], output: str = "_z", bits: int = 6) -> DataFrame:
-    """Adds the z-order value of the columns, each cut into ``2 ** bits`` equally full ranges."""
-    numbers = {f"_n{i}": as_number(df, column) for i, column in enumerate(columns)}
-    bounds = quantile_bounds(df, numbers, 2**bits)
-    for i, (name, expression) in enumerate(numbers.items()):
-        df = with_range_bucket(df, expression, bounds[name], f"_b{i}")
-    places = [F.least(F.col(f"_b{i}"), F.lit(2**bits - 1)) for i in range(len(columns))]
-    return df.withColumn(output, interleave(places, bits)).drop(*[f"_b{i}" for i in range(len(columns))])
-
-
 def clustered(df: DataFrame, columns: list[str], files: int, within: list[str] | None = None) -> DataFrame:
-    """Rows in ``files`` ranges that are close in all the columns at once, inside each ``within`` value.
+    """Rows in ``files`` ranges of the columns, in their order, inside each ``within`` value.
 
-    One column needs no z-order value. The row number as last range key lets the ranges cut through
-    a value that has very many rows.
+    The row number as last range key lets the ranges cut through a value that has very many rows.
     """
-    within = within or []
-    df = df.withColumn("_tie", F.monotonically_increasing_id())
-    order = columns
-    if len(columns) > 1:
-        df, order = with_z_value(df, columns), ["_z"]
-    ranged = df.repartitionByRange(files, *within, *order, "_tie")
-    return ranged.sortWithinPartitions(*within, *order).drop("_z", "_tie")
+    order = [*(within or []), *columns]
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+    return numbered.repartitionByRange(files, *order, "_tie").sortWithinPartitions(*order).drop("_tie")
 
 
 def compact(

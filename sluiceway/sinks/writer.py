@@ -45,6 +45,8 @@ def check_target(target: dict) -> None:
         raise SinkError(f"unknown write mode {mode!r}, use one of {MODES}")
     if mode == "merge" and not target.get("merge_keys"):
         raise SinkError("merge needs merge_keys")
+    if target["type"] == "parquet" and is_table_name(target["path"]) and (target.get("optimize") or {}).get("enabled"):
+        raise SinkError("optimize needs a folder or a delta table, a catalog table of Parquet files has none")
 
 
 def gate(report: Report | None, fail_on_error: bool = True) -> None:

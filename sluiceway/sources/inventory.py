@@ -68,6 +68,14 @@ def distinct_estimates(df: DataFrame, name: str) -> DataFrame:
     return df.agg(*measures).select(F.lit(name).alias("table_name"), F.inline(F.array(*per_column)))
 
 
+def schema_overview(spark: SparkSession, schema: str) -> DataFrame:
+    """The overview of every table and view that a catalog schema lists; temporary views are left out."""
+    listed = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    if not listed:
+        return spark.createDataFrame([], "table_name string, rows bigint, columns int, first_columns string")
+    return table_overview({name: spark.table(f"{schema}.`{name}`") for name in sorted(listed)})
+
+
 def table_overview(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: rows, number of columns and the names of the first five columns."""
     parts = [

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway import storage
-from sluiceway.errors import SpecError
+from sluiceway.errors import SinkError, SpecError
 from sluiceway.plans.steps import chain, prepare
 from sluiceway.quality.expectations import keep_valid
 from sluiceway.quality.rules import check_rules
@@ -48,18 +48,19 @@ def table_kinds(spec: dict) -> dict[str, str]:
 
 @dataclass
 class StreamRun:
-    """Stored tables by name and the final view."""
+    """Stored tables by name, the final view, and how many late rows each stream dropped."""
 
     tables: dict[str, str]
     view: DataFrame
     kinds: dict[str, str]
+    late: dict[str, int]
 
 
 def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int | None = None) -> StreamRun:
     """Runs the streams of a spec over all files that are there, then builds the final view.
 
     ``spec["streaming"]`` may hold ``watermark`` (``{"column", "delay"}``), ``output_mode``,
-    ``keys`` and ``partition_by`` of the stored tables, ``checkpoint``, ``state_partitions`` and
+    ``keys`` and ``partition_by`` of the stored tables, ``drop_late``, ``checkpoint``, ``state_partitions`` and
     ``continuous``. With the same ``folder`` a second run reads only new files.
     """
     settings = spec.get("streaming") or {}
@@ -67,12 +68,13 @@ def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int
         raise SpecError("a continuous run does not end; use start_streams and stop the queries")
     folder = folder or storage.new_folder(spark, "streams")
     queries, tables, frames, kinds = start_streams(spark, spec, folder)
-    for query in queries:
-        sinks.finish(query, seconds)
+    late = {name: sinks.finish(query, seconds) for name, query in zip(tables, queries)}
+    if any(late.values()) and not settings.get("drop_late"):
+        raise SinkError(f"rows came later than the watermark: {late}; choose a longer delay or set drop_late")
     view = final_view(spark, spec, frames, tables)
     if spec.get("target"):
         writer.write(view, spec["target"])
-    return StreamRun(tables, view, kinds)
+    return StreamRun(tables, view, kinds, late)
 
 
 def split_steps(spec: dict, kinds: dict[str, str]) -> tuple[list[dict], list[dict]]:

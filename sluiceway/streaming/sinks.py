@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway import storage
-from sluiceway.errors import SpecError
+from sluiceway.errors import SinkError, SpecError
 from sluiceway.sinks import merge
 
 OUTPUT_MODES = ("append", "update")
+#: Seconds between looks at the progress of a query, which keeps its last hundred batches.
+POLL = 5
 
 
 @dataclass(frozen=True)
@@ -23,6 +26,7 @@ class StreamTarget:
     not ``continuous`` reads what is there and ends. ``state_partitions`` is the number of state stores
     per operator, fixed by the first run; without it the session's number of shuffle partitions counts.
     Adaptive execution does not size them, so it should suit the cluster, such as its number of cores.
+    A run that loses rows behind the watermark ends with an error, unless ``drop_late`` allows it.
     """
 
     path: str
@@ -33,6 +37,7 @@ class StreamTarget:
     continuous: bool = False
     interval: str = "30 seconds"
     state_partitions: int | None = None
+    drop_late: bool = False
 
     def __post_init__(self):
         if self.output_mode not in OUTPUT_MODES:
@@ -71,17 +76,35 @@ def _shuffle_partitions(spark: SparkSession, number: int | None):
         spark.conf.set(setting, before)
 
 
-def finish(query: StreamingQuery, seconds: int | None = None) -> None:
-    """Waits for a query that ends by itself; with a limit, one that does not end in time is stopped."""
-    if seconds is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(seconds):
-        query.stop()
-        raise TimeoutError(f"the stream did not end within {seconds} seconds")
+def finish(query: StreamingQuery, seconds: int | None = None) -> int:
+    """Waits for a query that ends by itself; with a limit, one that does not end in time is stopped.
 
-
-def run(stream: DataFrame, target: StreamTarget, seconds: int | None = None) -> None:
-    finish(start(stream, target), seconds)
+    Returns how many rows came later than the watermark and were dropped. Stateful operators that
+    aggregate before the shuffle count rows of groups there, so the number is a lower bound.
+    """
+    dropped: dict[int, int] = {}
+    begin = time.monotonic()
+    while True:
+        left = POLL if seconds is None else min(POLL, seconds - (time.monotonic() - begin))
+        ended = left > 0 and query.awaitTermination(left)
+        for progress in query.recentProgress:
+            dropped[progress["batchId"]] = max(
+                dropped.get(progress["batchId"], 0),
+                sum(operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"]),
+            )
+        if ended:
+            return sum(dropped.values())
+        if left <= 0:
+            query.stop()
+            raise TimeoutError(f"the stream did not end within {seconds} seconds")
+
+
+def run(stream: DataFrame, target: StreamTarget, seconds: int | None = None) -> int:
+    """Runs a query to its end; returns the number of late rows it dropped, if the target allows any."""
+    late = finish(start(stream, target), seconds)
+    if late and not target.drop_late:
+        raise SinkError(f"{late} rows came later than the watermark and are not in {target.path}: choose a longer delay or set drop_late")
+    return late
 
 
 def _upsert_into(target: StreamTarget):

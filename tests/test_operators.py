@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sluiceway.functions.buckets import as_number, quantile_bounds, with_range_bucket
+from sluiceway import storage
 from sluiceway.operators import aggregates, filters, joins, partitioning, ranking
 from sluiceway.plans import product_performance, segment_performance, user_engagement
 
@@ -109,29 +109,36 @@ def test_exact_percentile(spark, fraction):
         assert all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
 
 
-def test_collect_values_cuts_large_keys(spark):
+def test_collect_values_are_slices(spark):
     data = [("hot", i, i % 7) for i in range(1_000)] + [("cold", i, i) for i in range(3)] + [(None, 1, 5), ("cold", 9, None)]
     frame = spark.createDataFrame(data, "k string, id int, v int")
-    found = aggregates.collect_values(frame, ["k"], "v", "id", limit=100).collect()
-    values = defaultdict(list)
-    for row in found:
-        assert row["items"] == sorted(row["items"])
-        values[row.k] += row["items"]
-    assert Counter(values["hot"]) == Counter(i % 7 for i in range(1_000)) and values[None] == [5]
-    assert sum(row.k == "hot" for row in found) == 10 and max(len(row["items"]) for row in found) < 160
-    assert [row["items"] for row in found if row.k == "cold"] == [[0, 1, 2]]
+    found = aggregates.collect_values(frame, ["k"], "v", "id", 100).collect()
+    chunks = {(row.k, row.chunk): row["items"] for row in found}
+    hot = sorted(i % 7 for i in range(1_000))
+    assert chunks == {**{("hot", n): hot[100 * n : 100 * n + 100] for n in range(10)}, ("cold", 0): [0, 1, 2], (None, 0): [5]}
 
 
 def test_numbering_by_ranges_is_the_plain_numbering(spark):
     rng = random.Random(5)
     data = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), rng.choice([None, *range(40)]), i) for i in range(900)]
     frame = spark.createDataFrame(data, "k string, t int, id int")
-    for column in (F.col("t"), F.timestamp_seconds("t"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("t"))):
+    texts = F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd HH:mm:ss")
+    for column in (F.col("t"), F.timestamp_seconds("t"), F.lit(1), texts):
         timed = frame.withColumn("t", column)
         plain = ranking.number_newest_first(timed, ["k"], "t", "id", "n")
         ranged = ranking.number_newest_first(timed, ["k"], "t", "id", "n", rows_per_task=100)
-        assert "_range" in ranged._jdf.queryExecution().analyzed().toString()
-        assert rows(plain.select("id", "n")) == rows(ranged.select("id", "n"))
+        assert rows(plain.select("id", "n")) == rows(ranged.select("id", "n")) and ranged.columns == plain.columns
+
+
+def test_numbering_cuts_equal_times_and_texts(spark, monkeypatch):
+    kept = []
+    stored = storage.stored
+    monkeypatch.setattr(ranking.storage, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    frame = spark.range(20_000).withColumn("k", F.when(F.col("id") < 19_000, "hot").otherwise(F.col("id").cast("string")))
+    same_day = frame.withColumn("t", F.lit("2024-05-01T00:00:00"))
+    ranking.number_newest_first(same_day, ["k"], "t", "id", "n", rows_per_task=1_000)
+    sizes = [row["count"] for row in kept[1].groupBy("_range").count().collect()]
+    assert sum(sizes) == 19_000 and len(sizes) == 19 and max(sizes) < 2_500
 
 
 def test_gathered_and_reused_frames(spark):
@@ -170,21 +177,6 @@ def test_samples(spark):
     assert 1_700 < filters.sample(frame, 0.1).count() < 2_300
 
 
-def test_range_buckets(spark):
-    frame = spark.range(1_000).withColumn("v", F.when(F.col("id") % 10 != 0, F.col("id")))
-    number = as_number(frame, "v")
-    bounds = quantile_bounds(frame, {"n": number}, 5)["n"]
-    found = with_range_bucket(frame, number, bounds, "b").groupBy("b").agg(F.count("v"), F.count(F.lit(1))).collect()
-    counts = {row[0]: (row[1], row[2]) for row in found}
-    assert counts[5] == (0, 100) and all(150 < counts[b][0] < 210 for b in range(5))
-
-
-def test_text_numbers_sort_like_text(spark):
-    frame = spark.createDataFrame([("",), ("a",), ("ab",), ("b",), ("zebra",), ("é",)], "v string")
-    ordered = frame.withColumn("n", as_number(frame, "v")).orderBy("n").select("v").collect()
-    assert [row.v for row in ordered] == ["", "a", "ab", "b", "zebra", "é"]
-
-
 def events_of(spark, data):
     schema = "user_id int, event_type string, product_id int, timestamp timestamp_ntz, revenue double"
     texts = "user_id int, event_type string, product_id int, timestamp string, revenue double"

@@ -106,12 +106,23 @@ def test_missing_dataset_is_listed(spark, people, tmp_path):
     assert {tuple(row) for row in found.collect()} == {("people", 5, True), ("gone", None, False)}
 
 
+def test_schema_overview(spark, people):
+    spark.sql("CREATE DATABASE IF NOT EXISTS listed")
+    assert inventory.schema_overview(spark, "listed").count() == 0
+    people.write.mode("overwrite").saveAsTable("listed.people_table")
+    people.createOrReplaceTempView("passing")
+    found = inventory.schema_overview(spark, "listed").collect()
+    assert [tuple(row) for row in found] == [("people_table", 5, 5, "id, name, age, salary, date")]
+    spark.catalog.dropTempView("passing")
+    spark.sql("DROP DATABASE listed CASCADE")
+
+
 def test_profile_is_one_job(spark, people, jobs):
     frame = inventory.column_profile(people.withColumn("gap", F.when(F.col("id") > 2, F.col("id"))), "people")
     rows = []
     assert jobs(lambda: rows.extend(frame.collect())) <= 2
     profile = {row.column_name: row for row in rows}
-    assert profile["gap"].nulls == 2 and profile["age"].min_value == "25" and profile["name"].max_value == "Eve"
+    assert profile["gap"].nulls == 2 and profile["age"].min_value == "25" and profile["name"].max_value == "Teo"
 
 
 def test_samples_follow_the_rules_of_their_entities(spark):

@@ -1,8 +1,10 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sluiceway.errors import SpecError
+from sluiceway.errors import SinkError, SpecError
 from sluiceway.plans import user_engagement
 from sluiceway.plans.steps import apply_step
 from sluiceway.sources.readers import read_stream
@@ -116,6 +118,29 @@ def test_append_mode_gives_closed_windows_only(spark, tmp_path):
     assert stored(spark, target) == {(1, "2024-01-01", 3, 1), (2, "2024-01-01", 1, 0)}
 
 
+LATE = [(2, "click", "2024-01-05 09:00:00")], [(2, "click", "2024-01-09 09:00:00")], [(1, "click", "2024-01-01 09:00:00")]
+
+
+@pytest.mark.parametrize("delay, late", [("1 hour", True), ("10 days", False)])
+def test_late_rows_of_later_batches_are_reported(spark, tmp_path, delay, late):
+    for n, rows in enumerate(LATE):
+        put(spark, tmp_path / "in", rows)
+        for file in (tmp_path / "in").glob("part-*.parquet"):
+            if not file.name.startswith("part-batch"):
+                moved = file.rename(file.with_name(f"part-batch{n}.parquet"))
+                os.utime(moved, (1_700_000_000 + n, 1_700_000_000 + n))
+    source = {"name": "events", "type": "parquet", "path": str(tmp_path / "in"), "schema": SCHEMA, "options": {"maxFilesPerTrigger": 1}}
+
+    def run(name, **settings):
+        target = sinks.StreamTarget(path=f"{tmp_path}/{name}", checkpoint=f"{tmp_path}/{name}-checkpoint", **settings)
+        return sinks.run(engagement.windowed_metrics(read_stream(spark, source), delay=delay), target, SECONDS)
+
+    if late:
+        with pytest.raises(SinkError, match="1 rows"):
+            run("strict")
+    assert run("allowed", drop_late=True) == int(late)
+
+
 def test_append_mode_without_watermark_is_rejected(spark, tmp_path):
     put(spark, tmp_path / "in", FIRST)
     target = sinks.StreamTarget(path=f"{tmp_path}/table", checkpoint=f"{tmp_path}/checkpoint")
