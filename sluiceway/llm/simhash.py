@@ -6,7 +6,7 @@ that follows works on distinct fingerprints, so a text with very many copies is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations
 
@@ -108,10 +108,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def groups(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, fp, group, component_id`` for rows of ``doc_id, fp``."""
+def groups(rows: DataFrame, scratch: Scratch, find: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``doc_id, fp, group, component_id`` for rows of ``doc_id, fp``; ``find`` links fingerprints otherwise than by bits."""
     distinct = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    parts = connected(links(distinct.select("fp"), scratch), scratch)
+    found = find(distinct.select("fp")) if find else links(distinct.select("fp"), scratch)
+    parts = connected(found, scratch)
     parts = scratch.keep(parts.select(F.col("node").alias("fp"), F.col("component").alias("group")), "groups")
     labelled = distinct.join(parts, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
     labelled = scratch.keep(labelled, "labelled")
@@ -146,10 +147,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     stay, by id, so a group with a third of all rows is spread. All columns are kept as they are.
     """
     scratch = Scratch(docs.sparkSession, "dedup")
-    rows = scratch.keep(with_fingerprint(docs, "_fp"), "rows")
-    found = groups(rows.select("doc_id", F.col("_fp").alias("fp")), scratch)
+    return first_of_groups(scratch.keep(with_fingerprint(docs, "_fp"), "rows"), docs.columns, scratch)
+
+
+def first_of_groups(rows: DataFrame, columns: list[str], scratch: Scratch, find: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``columns`` of the row that stays of each group, from rows that have ``_fp`` too."""
+    found = groups(rows.select("doc_id", F.col("_fp").alias("fp")), scratch, find)
     stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = stays.groupBy("group", F.col("component_id").alias("_first")).agg(F.min("fp").alias("_least")).drop("group")
     stays = scratch.keep(stays, "stays")
     kept = rows.join(stays, rows["doc_id"].eqNullSafe(stays["_first"]) & (rows["_fp"] == stays["_least"]))
-    return kept.dropDuplicates(["doc_id", "_fp"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", "_fp"]).select(*columns)
