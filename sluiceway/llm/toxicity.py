@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,8 +25,12 @@ SHORTEST, LONGEST = 4, 8
 LEAST_SHARE, LEAST_RATIO = 0.005, 15.0
 #: Least log likelihood ratio of a term's labels against those of the sample, so that chance makes no term.
 LEAST_EVIDENCE = 12.0
-#: Words from this length on are matched with one edit.
+#: Terms from this length on are matched with one edit.
 EDITABLE = 5
+#: What a misspelled term counts, as a share of a term. Labels that hold no misspellings cannot teach it.
+NEAR = 0.7
+#: A form this often in words of clean rows of the sample is no misspelling, unless it marks toxic ones as a term does.
+ORDINARY = 2
 #: Words looked at on either side of a hit, and what a quoted hit counts.
 WINDOW = 6
 QUOTED = 0.3
@@ -38,17 +42,20 @@ MOST_STATES, WORDS_KEPT = 50_000, 100_000
 REPORTING = {"said", "says", "called", "calls", "wrote", "quote", "quoted", "word", "term", "insult", "slur", "sagte", "nannte", "wort",
              "zitat", "dit", "appelé", "mot", "terme", "dijo", "llamó", "palabra", "término"}
 MARKS = "\"“”„«»‘’"
-WORD = re.compile(r"[^\W\d_]+")
+#: Digits and signs between letters stay in a word, which also is read as the pieces beside them.
+WORD = re.compile(r"[^\W\d_]+(?:[\d_@$!*#€|+]{1,2}[^\W\d_]+)*")
+PIECE = re.compile(r"[^\W\d_]+")
 
 
 class Lexicon:
     """Terms and, of each, whether it is a whole word or the beginning of one.
 
     A state of the automaton is a set of (trie node, edits so far). States that follow from one
-    another are kept, so that a letter of a text costs one look-up.
+    another are kept, so that a letter of a text costs one look-up. ``ordinary`` forms are no misspellings.
     """
 
-    def __init__(self, terms: list[tuple[str, bool]]):
+    def __init__(self, terms: list[tuple[str, bool]], ordinary: Iterable[str] = ()):
+        self.ordinary = frozenset(ordinary)
         self.children: list[dict[str, int]] = [{}]
         self.whole: list[bool] = [False]
         self.begins: list[bool] = [False]
@@ -66,11 +73,11 @@ class Lexicon:
                 path.append(node)
             if whole:
                 self.whole[node] = True
-                if len(term) >= EDITABLE:
-                    for node in (0, *path):
-                        self.editable[node] = True
             else:
                 self.begins[node] = True
+            if len(term) >= EDITABLE:
+                for node in (0, *path):
+                    self.editable[node] = True
         self._restart()
         self.clean: set[str] = set()
 
@@ -80,6 +87,7 @@ class Lexicon:
         self.moves: list[dict[str, int]] = []
         self.results: list[int] = []
         self.begun: list[bool] = []
+        self.nearly: list[set[str]] = []
         self.start = self._number(self._closed({(0, 0)}))
 
     def _closed(self, state: set[tuple[int, int]]) -> frozenset:
@@ -94,6 +102,7 @@ class Lexicon:
             self.numbers[state] = len(self.states)
             self.states.append(state)
             self.moves.append({})
+            self.nearly.append(set())
             exact = any(edits == 0 and self.whole[node] for node, edits in state)
             near = any(edits == 1 and self.whole[node] and self.editable[node] for node, edits in state)
             self.results.append(2 if exact else 1 if near else 0)
@@ -106,6 +115,8 @@ class Lexicon:
             child = self.children[node].get(letter)
             if child is not None:
                 following.add((child, edits))
+                if edits and self.begins[child] and self.editable[child]:
+                    self.nearly[number].add(letter)
             if edits == 0:
                 if self.editable[node]:
                     following.add((node, 1))  # a letter too many
@@ -115,17 +126,34 @@ class Lexicon:
         return found
 
     def match(self, word: str) -> int:
-        """2 for a term or a word that begins like one, 1 for a term with one edit, else 0."""
-        state = self.start
-        for letter in word:
+        """2 for a term or a word that begins like one, 1 for either with one edit, else 0.
+
+        The edit of a beginning lies before its last letter, since any letter may follow a shorter one.
+        """
+        exact, forms = self.forms(word)
+        return 2 if exact else int(bool(forms))
+
+    def forms(self, word: str) -> tuple[bool, set[str]]:
+        """Whether a word matches exactly; if not, what in it is a misspelled term: all of it or how it begins."""
+        state, found = self.start, set()
+        for at, letter in enumerate(word, 1):
             if (following := self.moves[state].get(letter)) is None:
                 following = self._move(state, letter)
             if following < 0:
-                return 0
+                return False, found
+            if letter in self.nearly[state]:
+                found.add(word[:at])
             state = following
             if self.begun[state]:
-                return 2
-        return self.results[state]
+                return True, set()
+        if self.results[state] == 2:
+            return True, set()
+        return False, found | {word} if self.results[state] else found
+
+    def _read(self, word: str) -> int:
+        """How a word or one of its pieces matches."""
+        read = [self.forms(part) for part in {word, *PIECE.findall(word)}]
+        return 2 if any(exact for exact, _ in read) else int(any(forms - self.ordinary for _, forms in read))
 
     def hits(self, words: list[str]) -> dict[str, int]:
         """Words that match, and how."""
@@ -135,7 +163,7 @@ class Lexicon:
             self.clean.clear()
         found = {}
         for word in set(words) - self.clean:
-            if how := self.match(word):
+            if how := self._read(word):
                 found[word] = how
             elif len(word) <= 32:
                 self.clean.add(word)
@@ -164,6 +192,12 @@ def features(text: str | None, lexicon: Lexicon) -> tuple[float, float, float]:
     return math.log1p(exact), math.log1p(near), math.log1p(quoted)
 
 
+def weighed(found: list[tuple[float, float, float]]) -> np.ndarray:
+    """Abuse and quotation for each text; a misspelled term is ``NEAR`` of a term, in one damped sum."""
+    exact, near, quoted = np.array(found, float).reshape(len(found), 3).T
+    return np.c_[np.log1p(np.expm1(exact) + NEAR * np.expm1(near)), quoted]
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learned from; a row without an id is none of them."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
@@ -229,11 +263,28 @@ def _fit(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
     in_sample = y.mean()
     beta[0] += math.log(share / (1 - share)) - math.log(in_sample / (1 - in_sample))
     # More abuse never lowers a score; quotation alone never raises it.
-    return np.r_[beta[0], np.maximum(beta[1:3], [1.0, 0.0]), min(beta[3], 0.0)]
+    return np.r_[beta[0], max(beta[1], 1.0), min(beta[2], 0.0)]
+
 
+def ordinary_forms(rows: DataFrame, n_clean: int, n_toxic: int, terms: list[tuple[str, bool]]) -> list[str]:
+    """Words and beginnings of the clean rows of a sample that look like misspelled terms and are none."""
 
-def fitted(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool]], list[float]]:
-    """Terms and weights; without labels of both kinds there are no terms and the score is their share, 0 without any."""
+    def resembling(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lexicon = Lexicon(terms)
+        for frame in frames:
+            found = [(form, n, m) for word, n, m in zip(frame["word"], frame["n"], frame["m"]) for form in lexicon.forms(word)[1]]
+            yield pd.DataFrame(found, columns=["form", "n", "m"])
+
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))
+    words = rows.select("toxic", F.explode(words).alias("word"))
+    words = words.groupBy("word").agg(F.sum("toxic").alias("n"), F.sum(1 - F.col("toxic")).alias("m"))
+    forms = words.mapInPandas(resembling, "form string, n bigint, m bigint").groupBy("form").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    ratio = (F.col("n") / n_toxic) / ((F.col("m") + 0.5) / n_clean)
+    return sorted(r.form for r in forms.where((F.col("m") >= ORDINARY) & (ratio < LEAST_RATIO)).collect())
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool]], list[str], list[float]]:
+    """Terms, ordinary forms like them, and weights; without labels of both kinds there are no terms and the score is their share, 0 without any."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     total, toxic = usable.agg(F.count("*"), F.sum("toxic")).first()
     rows = sample(docs, labels)
@@ -241,17 +292,19 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, bool]],
     terms = learned_terms(rows, by_label.get(0, 0), by_label.get(1, 0))
     share = (toxic or 0) / total if total else 0.0
     if not terms:
-        return [], [math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0, 0.0, 0.0]
+        return [], [], [math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0, 0.0]
+    ordinary = ordinary_forms(rows, by_label.get(0, 0), by_label.get(1, 0), terms)
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(terms, ordinary)
         for frame in frames:
             found = [features(text, lexicon) for text in frame["text"]]
             yield pd.DataFrame(found, columns=["exact", "near", "quoted"]).assign(toxic=frame["toxic"].to_numpy())
 
     seen = rows.mapInPandas(measure, "exact double, near double, quoted double, toxic int").toPandas()
     seen = seen.sort_values(list(seen.columns))
-    return terms, _fit(seen[["exact", "near", "quoted"]].to_numpy(), seen["toxic"].to_numpy(float), share).tolist()
+    x = weighed(seen[["exact", "near", "quoted"]].to_numpy())
+    return terms, ordinary, _fit(x, seen["toxic"].to_numpy(float), share).tolist()
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -262,14 +315,14 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     table gives no rows; labels without a document, of null id or other than 0 and 1 are left out.
     All columns are kept.
     """
-    terms, weights = fitted(docs, labels)
+    terms, ordinary, weights = fitted(docs, labels)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(terms, ordinary)
         beta = np.array(weights)
         for texts in batches:
-            x = np.array([features(text, lexicon) for text in texts]).reshape(len(texts), 3)
+            x = weighed([features(text, lexicon) for text in texts])
             yield pd.Series(1 / (1 + np.exp(-np.clip(beta[0] + x @ beta[1:], -30, 30))))
 
     return docs.withColumn("_score", score("text"))
