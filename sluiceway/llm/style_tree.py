@@ -7,7 +7,6 @@ page to page.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -37,15 +36,23 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
           "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp"}
 #: An opening element of the key ends an open one of the values.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_WORD = re.compile(r"[a-z0-9]+")
+#: An element that holds more than this share of what its page could give never stands aside for its name.
+MOST = 0.8
 
 
 class Blocks(HTMLParser):
-    """Blocks of a page in order: path, whether it stands aside, whether in the main element, text."""
+    """Blocks of a page in order: path, whether it stands aside, whether in the main element, text.
+
+    ``named`` gives for each block the elements around it that only their name sets aside, and
+    ``holders`` those of them that hold a main element.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, bool]] = []
+        self.stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []
+        self.named: list[tuple[int, ...]] = []
+        self.holders: set[int] = set()
+        self.elements = 0
         self.found: list[tuple[str, bool, bool, str]] = []
         self.words: list[str] = []
 
@@ -53,7 +60,8 @@ class Blocks(HTMLParser):
         text = " ".join("".join(self.words).split())
         self.words = []
         if text:
-            _, path, aside, main = self.stack[-1] if self.stack else ("", "", False, False)
+            _, path, aside, main, names = self.stack[-1] if self.stack else ("", "", False, False, ())
+            self.named.append(names)
             self.found.append((path, aside, main, text))
 
     def _close(self, at: int) -> None:
@@ -81,15 +89,19 @@ class Blocks(HTMLParser):
             self._end_block()
         if tag in VOID:
             return
-        _, path, aside, main = self.stack[-1] if self.stack else ("", "", False, False)
+        _, path, aside, main, names = self.stack[-1] if self.stack else ("", "", False, False, ())
         if tag in INLINE and not any(name in ("class", "id", "role", "hidden", "style") for name, _ in attrs):
-            self.stack.append((tag, path, aside, main))
+            self.stack.append((tag, path, aside, main, names))
             return
         named = " ".join(sorted(value for name, value in attrs if value and name in ("class", "id", "role"))).lower()
-        words = set(_WORD.findall(named))
         hidden = any(name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and "display:none" in value.replace(" ", "").lower()) for name, value in attrs)
-        own = tag in ASIDE or bool(words & ASIDE_NAMES) or hidden or (tag == "header" and not main)
-        self.stack.append((tag, f"{path}/{tag}" + (f"[{named}]" if named else ""), aside or (own and tag not in ("html", "body")), main or tag in MAIN))
+        own = tag in ASIDE or hidden
+        if tag in MAIN:
+            self.holders.update(names)
+        elif tag not in ("html", "body") and (not ASIDE_NAMES.isdisjoint(named.split()) or (tag == "header" and not main)):
+            self.elements += 1
+            names = (*names, self.elements)
+        self.stack.append((tag, f"{path}/{tag}" + (f"[{named}]" if named else ""), aside or (own and tag not in ("html", "body")), main or tag in MAIN, names))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -114,7 +126,16 @@ def blocks_of(html: str | None) -> list[tuple[str, bool, bool, str]]:
     parser.feed(html or "")
     parser.close()
     parser._end_block()
-    return parser.found
+    # Names set aside what is neither around a main element nor most of the text that could be kept.
+    scope = [k for k, block in enumerate(parser.found) if not block[1]]
+    scope = [k for k in scope if parser.found[k][2]] or scope
+    sizes: dict[int, int] = {}
+    for k in scope:
+        for element in parser.named[k]:
+            sizes[element] = sizes.get(element, 0) + len(parser.found[k][3])
+    most = MOST * sum(len(parser.found[k][3]) for k in scope)
+    exempt = parser.holders | {element for element, size in sizes.items() if size > most}
+    return [(path, aside or any(element not in exempt for element in names), main, text) for (path, aside, main, text), names in zip(parser.found, parser.named)]
 
 
 def with_blocks(pages: DataFrame) -> DataFrame:
