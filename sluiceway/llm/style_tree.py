@@ -1,8 +1,8 @@
 """HTML extraction by site style trees: what a site repeats is taken from its pages.
 
 Python turns a page into blocks, each with the path of elements that leads to it. Spark merges the
-paths of a host's pages into one tree and measures how much the content of every node differs from
-page to page.
+paths of a host's pages into one tree and measures in how many of the distinct pages a node's
+content is the same.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from sluiceway.llm.scratch import Scratch
 from sluiceway.llm.url_rules import host
 
-#: A node is a template's if its content has less than this share of the entropy it could have, and
-#: was seen in this many blocks at least.
-LEAST_IMPORTANCE = 0.3
-LEAST_BLOCKS = 8
+#: A node is a template's if its contents are each held by more than this share of the distinct pages
+#: that have the node, on average, and it was seen in this many of them at least.
+TEMPLATE_SHARE = 0.7
+LEAST_PAGES = 8
 
 # Elements whose presentation says that they are not the article, and names of such.
 ASIDE = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "object", "svg", "canvas", "button",
@@ -154,38 +154,43 @@ def with_blocks(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_blocks", split("html"))
 
 
-def templates(blocks: DataFrame) -> DataFrame:
-    """``host, path`` of the nodes of a host's style tree that are of low importance.
+def templates(blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """``node`` of what the template of a host repeats, from ``host, page, node, content``.
 
-    The importance of a node is the entropy of its contents over its blocks, as a share of the most
-    that many blocks could have: 0 if all are the same, 1 if all differ. Blocks are counted by content
-    before they are summed by node. A node seen in few blocks is important. So are all nodes of a host
-    whose pages show no contrast, since then nothing tells its template from its articles.
+    Each content counts once for each distinct page, so copies of a page weigh as one, and its share
+    of the distinct pages that have the node does not change with their number. A node seen in few
+    pages is kept. So are all of a host whose pages show no contrast, since then nothing tells its
+    template from its articles.
     """
-    contents = blocks.groupBy("host", "path", F.xxhash64("text").alias("content")).agg(F.count("*").alias("n"))
-    nodes = contents.groupBy("host", "path").agg(F.sum("n").alias("blocks"), F.sum(F.col("n") * F.log("n")).alias("repeats"))
-    share = 1 - F.col("repeats") / (F.col("blocks") * F.log("blocks"))
-    nodes = nodes.withColumn("importance", F.when(F.col("blocks") < LEAST_BLOCKS, F.lit(1.0)).otherwise(share))
-    hosts = nodes.groupBy(F.col("host").alias("_host")).agg(F.max("importance").alias("most")).where(F.col("most") >= LEAST_IMPORTANCE)
-    low = nodes.where(F.col("importance") < LEAST_IMPORTANCE)
-    return low.join(hosts, low["host"] == hosts["_host"], "left_semi").select("host", "path", "importance")
+    contents = blocks.select("host", "page", "node", "content").distinct()
+    contents = contents.groupBy("host", "node", "content").agg(F.count("*").alias("n"))
+    squared = F.col("n").cast("double") * F.col("n")
+    nodes = contents.groupBy("host", "node").agg((F.sum(squared) / F.sum("n")).alias("held"))
+    pages = blocks.select("page", "node").distinct().groupBy("node").agg(F.count("*").alias("pages"))
+    shared = (F.col("pages") >= LEAST_PAGES) & (F.col("held") > TEMPLATE_SHARE * F.col("pages"))
+    judged = scratch.keep(nodes.join(pages, "node").select("host", "node", shared.alias("shared")), "nodes")
+    hosts = judged.groupBy(F.col("host").alias("_host")).agg(F.min("shared").alias("all")).where("not all")
+    return judged.where("shared").join(hosts, judged["host"] == hosts["_host"], "left_semi").select("node")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
-    Blocks of nodes that are of low importance on the page's host are left out; what remains is
-    joined by line ends. A null html is empty and gives an empty text, a null URL belongs to the empty
-    host. Repeated rows are extracted each and count in the tree; an empty table gives no rows; other
+    Blocks of nodes that hold the same in most of the host's distinct pages are left out; what remains
+    is joined by line ends. A null html is empty and gives an empty text, a null URL belongs to the empty
+    host. Repeated rows are extracted each and count once in the tree; an empty table gives no rows; other
     columns are ignored.
     """
     scratch = Scratch(pages.sparkSession, "styles")
     rows = with_blocks(pages.select("page_id", "url", "html")).drop("html")
     rows = rows.withColumns({"_host": host(F.col("url")), "_row": F.monotonically_increasing_id()})
     rows = scratch.keep(rows, "blocks")
-    listed = rows.select("_row", F.col("_host").alias("host"), F.posexplode("_blocks").alias("at", "block")).select("_row", "host", "at", "block.*")
-    low = scratch.keep(templates(listed), "low")
-    dropped = listed.select("_row", "host", "at", "path").join(low.select("host", "path"), ["host", "path"])
+    # Hosts, pages, nodes and contents are digests from here on. A page is known by its host and blocks.
+    name = F.xxhash64("_host").alias("host")
+    listed = rows.select("_row", name, F.xxhash64("_host", "_blocks").alias("page"), F.posexplode("_blocks").alias("at", "block"))
+    listed = listed.select("_row", "host", "page", "at", F.xxhash64("host", "block.path").alias("node"), F.xxhash64("block.text").alias("content"))
+    low = scratch.keep(templates(listed, scratch), "low")
+    dropped = listed.select("_row", "at", "node").join(low, "node")
     dropped = scratch.keep(dropped.groupBy("_row").agg(F.collect_set("at").alias("_dropped")), "dropped")
     none = F.array().cast("array<int>")
     joined = rows.join(dropped, "_row", "left").withColumn("_dropped", F.coalesce("_dropped", none))
