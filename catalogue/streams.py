@@ -30,7 +30,7 @@ def run(frame, spark, **settings):
         **settings,
     )
     sinks.run(frame, target, SECONDS)
-    return spark.read.schema(frame.schema).parquet(target.path)
+    return sinks.read(spark, target, frame.schema)
 
 
 @query("r1_stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")

@@ -33,9 +33,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[application]
 
 
+def unused() -> str:
+    """A name nobody else has."""
+    return uuid.uuid4().hex
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody else uses; it is not created."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{unused()}"
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -51,7 +56,7 @@ def stored(df: DataFrame) -> DataFrame:
 def sibling(path: str, label: str) -> str:
     """An unused hidden path next to ``path``, so that a later rename stays on one file system."""
     parent, _, name = path.rstrip("/").rpartition("/")
-    hidden = f"_{label}_{name}_{uuid.uuid4().hex}"
+    hidden = f"_{label}_{name}_{unused()}"
     return f"{parent}/{hidden}" if parent or path.startswith("/") else hidden
 
 
@@ -86,6 +91,11 @@ def move(spark: SparkSession, old: str, new: str) -> None:
         raise SluicewayError(f"cannot move {old} to {new}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, location = _locate(spark, path)
+    fs.mkdirs(location)
+
+
 def subfolders(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Partition folders ``depth`` levels below a folder, relative to it; depth 0 is the folder itself."""
     fs, location = _locate(spark, path)

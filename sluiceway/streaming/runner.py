@@ -20,6 +20,7 @@ from sluiceway.sinks import writer
 from sluiceway.sources.readers import DIMENSION_WORDS, read_source, read_stream, source_mode
 from sluiceway.streaming import sinks
 from sluiceway.streaming.engagement import with_event_time
+from sluiceway.streaming.snapshots import Snapshots
 
 
 def _is_dimension(name: str) -> bool:
@@ -67,14 +68,14 @@ def run(spark: SparkSession, spec: dict, folder: str | None = None, seconds: int
     if settings.get("continuous"):
         raise SpecError("a continuous run does not end; use start_streams and stop the queries")
     folder = folder or storage.new_folder(spark, "streams")
-    queries, tables, frames, kinds = start_streams(spark, spec, folder)
-    late = {name: sinks.finish(query, seconds) for name, query in zip(tables, queries)}
+    queries, targets, frames, kinds = start_streams(spark, spec, folder)
+    late = {name: sinks.finish(query, seconds) for name, query in zip(targets, queries)}
     if any(late.values()) and not settings.get("drop_late"):
         raise SinkError(f"rows came later than the watermark: {late}; choose a longer delay or set drop_late")
-    view = final_view(spark, spec, frames, tables)
+    view = final_view(spark, spec, frames, targets)
     if spec.get("target"):
         writer.write(view, spec["target"])
-    return StreamRun(tables, view, kinds, late)
+    return StreamRun({name: target.path for name, target in targets.items()}, view, kinds, late)
 
 
 def split_steps(spec: dict, kinds: dict[str, str]) -> tuple[list[dict], list[dict]]:
@@ -91,7 +92,11 @@ def split_steps(spec: dict, kinds: dict[str, str]) -> tuple[list[dict], list[dic
 
 
 def start_streams(spark: SparkSession, spec: dict, folder: str):
-    """Starts one query for every stream that a batch step, or nobody but the user, reads."""
+    """Starts one query for every stream that a batch step, or nobody but the user, reads.
+
+    Returns the queries, the targets by name, all frames and the kinds. What steps make of dimensions is
+    computed once, before the streams that join it start.
+    """
     settings = spec.get("streaming") or {}
     kinds = table_kinds(spec)
     for step in spec.get("transformations") or []:
@@ -104,12 +109,20 @@ def start_streams(spark: SparkSession, spec: dict, folder: str):
         if mark and kinds[name] == "stream" and mark["column"] in frames[name].columns:
             frames[name] = with_event_time(frames[name], mark["column"], mark["delay"])
     now, later = split_steps(spec, kinds)
-    frames = chain(spark, frames, now)
+    static = [step for step in now if kinds[step["output"]] == "batch"]
+    frames = chain(spark, frames, static)
+    streamed = [step for step in now if step not in static]
+    joined = {name for step in streamed for name in step["inputs"]}
+    snapshots = Snapshots(spark, f"{folder}/snapshots")
+    for step in static:
+        if step["output"] in joined:
+            frames[step["output"]] = snapshots.take(step["output"], frames[step["output"]])
+    frames = chain(spark, frames, streamed)
     if spec.get("transformations"):
         wanted = list(dict.fromkeys(name for step in later for name in step["inputs"] if name in frames))
     else:
         wanted = [spec["sources"][0]["name"]]
-    queries, tables = [], {}
+    queries, targets = [], {}
     sources = {source["name"] for source in spec["sources"]}
     for name in wanted:
         if not frames[name].isStreaming:
@@ -125,15 +138,15 @@ def start_streams(spark: SparkSession, spec: dict, folder: str):
             state_partitions=settings.get("state_partitions"),
         )
         queries.append(sinks.start(frames[name], target))
-        tables[name] = target.path
-    return queries, tables, frames, kinds
+        targets[name] = target
+    return queries, targets, frames, kinds
 
 
-def final_view(spark: SparkSession, spec: dict, frames: dict, tables: dict) -> DataFrame:
+def final_view(spark: SparkSession, spec: dict, frames: dict, targets: dict[str, sinks.StreamTarget]) -> DataFrame:
     """Result of the batch steps over the stored tables, without the rows that violate an expectation."""
     stored = {name: frame for name, frame in frames.items() if not frame.isStreaming}
-    for name, path in tables.items():
-        stored[name] = spark.read.schema(frames[name].schema).parquet(path)
+    for name, target in targets.items():
+        stored[name] = sinks.read(spark, target, frames[name].schema)
     steps = spec.get("transformations") or []
     if steps:
         _, later = split_steps(spec, table_kinds(spec))

@@ -7,11 +7,12 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway import storage
 from sluiceway.errors import SinkError, SpecError
-from sluiceway.sinks import merge
+from sluiceway.streaming.changes import ChangeLog
 
 OUTPUT_MODES = ("append", "update")
 #: Seconds between looks at the progress of a query, which keeps its last hundred batches.
@@ -22,10 +23,13 @@ POLL = 5
 class StreamTarget:
     """Where a stream goes.
 
-    ``append`` writes every row once; ``update`` upserts changed rows on ``keys``. A stream that is
-    not ``continuous`` reads what is there and ends. ``state_partitions`` is the number of state stores
+    ``append`` writes every row once into a plain folder. ``update`` writes changed rows as the next version of
+    a change log on ``keys``, so a micro-batch costs what it changed; ``read`` gives the table either way, and
+    ``compact`` moves the versions into a base that may be partitioned. A ``continuous`` stream compacts by
+    itself after every ``compact_every`` versions. A stream that is not ``continuous`` reads what is there and ends. ``state_partitions`` is the number of state stores
     per operator, fixed by the first run; without it the session's number of shuffle partitions counts.
     Adaptive execution does not size them, so it should suit the cluster, such as its number of cores.
+    ``rocksdb`` keeps state on the executors' disks in place of their memory.
     A run that loses rows behind the watermark ends with an error, unless ``drop_late`` allows it.
     """
 
@@ -38,6 +42,8 @@ class StreamTarget:
     interval: str = "30 seconds"
     state_partitions: int | None = None
     drop_late: bool = False
+    rocksdb: bool = False
+    compact_every: int = 100
 
     def __post_init__(self):
         if self.output_mode not in OUTPUT_MODES:
@@ -57,23 +63,36 @@ def start(stream: DataFrame, target: StreamTarget) -> StreamingQuery:
         writer = writer.partitionBy(*target.partition_by).format("parquet").option("path", target.path)
     else:
         writer = writer.foreachBatch(_upsert_into(target))
-    with _shuffle_partitions(stream.sparkSession, target.state_partitions):
+    with _settings(stream.sparkSession, _state_settings(target)):
         return writer.start()
 
 
+def _state_settings(target: StreamTarget) -> dict[str, str]:
+    settings = {}
+    if target.state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(target.state_partitions)
+    if target.rocksdb:
+        provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        settings["spark.sql.streaming.stateStore.providerClass"] = provider
+        # One bound for all stores of an executor, whatever their number.
+        settings["spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"] = "true"
+    return settings
+
+
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, number: int | None):
+def _settings(spark: SparkSession, settings: dict[str, str]):
     """A query keeps the settings it was started with, so the session has its own back at once."""
-    if number is None:
-        yield
-        return
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(number))
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def finish(query: StreamingQuery, seconds: int | None = None) -> int:
@@ -107,25 +126,39 @@ def run(stream: DataFrame, target: StreamTarget, seconds: int | None = None) ->
     return late
 
 
+def _log(spark: SparkSession, target: StreamTarget) -> ChangeLog:
+    return ChangeLog(spark, target.path, list(target.keys), list(target.partition_by))
+
+
 def _upsert_into(target: StreamTarget):
-    """Upsert of one micro-batch.
+    """One version of the change log for each micro-batch.
 
-    The batch is stored first, since the merge reads it more than once and the stateful plan
-    behind it should run once. A batch that is delivered again replaces the same keys by the same
-    rows, so the folder ends up as if it had been delivered once.
+    A batch that is delivered again becomes a newer version of the same rows, so the table reads as if it
+    had been delivered once.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = storage.new_folder(spark, f"batch-{batch_id}")
-        batch.write.parquet(stored)
-        rows = spark.read.schema(batch.schema).parquet(stored)
-        merge.merge_folder(rows, target.path, list(target.keys), list(target.partition_by))
-        storage.remove(spark, stored)
+        log = _log(batch.sparkSession, target)
+        log.append(batch)
+        if target.continuous and len(log.versions()) >= target.compact_every:
+            log.compact()
 
     return upsert
 
 
+def read(spark: SparkSession, target: StreamTarget, schema: T.StructType | None = None) -> DataFrame:
+    """The table a stream has written so far."""
+    if target.output_mode == "update":
+        return _log(spark, target).read(schema)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(target.path)
+
+
+def compact(spark: SparkSession, target: StreamTarget) -> int:
+    """Moves the versions of an ``update`` target into its base; returns how many."""
+    return _log(spark, target).compact()
+
+
 def refresh(stream: DataFrame, target: StreamTarget, seconds: int | None = None) -> StreamTarget:
     """Rebuilds a target from all files of its sources, with state from scratch.
 

@@ -33,7 +33,7 @@ def update_target(tmp_path, **rest):
 
 
 def stored(spark, target):
-    found = spark.read.parquet(target.path).select("user_id", F.col("date").cast("string"), "total_events", "purchases")
+    found = sinks.read(spark, target).select("user_id", F.col("date").cast("string"), "total_events", "purchases")
     return {tuple(row) for row in found.collect()}
 
 
