@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import bpe, fingerprints, mixing, perplexity, reply_trees, simhash, style_tree, token_spans, toxicity, url_rules
+from sluiceway.llm import (
+    bpe,
+    fingerprints,
+    mixing,
+    periodic_runs,
+    perplexity,
+    reply_trees,
+    simhash,
+    stream_dedup,
+    style_tree,
+    token_spans,
+    toxicity,
+    url_rules,
+    whitening,
+)
 from sluiceway.llm.scratch import ship, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -55,6 +69,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_dedup.deduplicated(spark, f"{folder.rstrip('/')}/documents.parquet")
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.periodic(table(spark, folder, "documents"), edit=True)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         ship(spark)
@@ -67,7 +93,8 @@ QUERIES = {
     query.__name__: _shipped(query)
     for query in (
         op1_fingerprints, op2_simhash, op3_bpe, op4_perplexity, op5_url_rules, op6_mixing,
-        op7_token_spans, op8_reply_trees, op9_style_tree, op10_toxicity,
+        op7_token_spans, op8_reply_trees, op9_style_tree, op10_toxicity, op11_stream_dedup, op12_whitening,
+        op13_periodic_runs,
     )
 }
 
@@ -75,4 +102,5 @@ ORACLES = {
     "op5_url_rules": url_rules.VERDICTS_SQL,
     "op6_mixing": mixing.MIXTURE_SQL,
     "op8_reply_trees": reply_trees.DIGESTS_SQL,
+    "op11_stream_dedup": stream_dedup.KEPT_SQL,
 }

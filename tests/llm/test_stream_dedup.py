@@ -1,0 +1,85 @@
+"""Exact duplicates of a stream against a plain grouping, over several runs and with digests that collide."""
+
+import hashlib
+import random
+
+import pytest
+
+from sluiceway.llm import stream_dedup
+
+SCHEMA = "text string, doc_id bigint, file string, digest string, at string, _metadata string"
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def wanted(rows):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(lowered(text), []).append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        kept = sorted(ids, key=lambda i: (i is not None, i or 0))
+        out += [(i, keep, len(ids), n == len(kept) - 1, digest) for n, i in enumerate(kept)]
+    return sorted(out, key=repr)
+
+
+def put(spark, path, rows, files=2):
+    full = [(t, i, "f", "d", "a", "m") for i, t in rows]
+    spark.createDataFrame(full, SCHEMA).repartition(files).write.mode("append").parquet(str(path))
+
+
+def got(frame):
+    assert frame.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def made(seed, first, number):
+    rng = random.Random(seed)
+    rows = [(first + k, rng.choice(["Ab", "aB", "é É", "É é", "x" * 50_000, "tail "]) * rng.randrange(0, 3)) for k in range(number)]
+    return rows + [(first + 900, None), (first + 901, ""), (first + 902, "only"), (None, "ONLY"), (first + 903, "same id"), (first + 903, "Same id")]
+
+
+@pytest.mark.parametrize("digest_bytes", [32, 1, 0])
+def test_runs_equal_brute_force(spark, tmp_path, monkeypatch, digest_bytes):
+    monkeypatch.setattr(stream_dedup, "COPIES", 5)
+    path = tmp_path / "documents"
+    rows = made(1, 0, 150) + [(5_000 + k, f"text {k}") for k in range(300)]
+    put(spark, path, rows)
+    stream = stream_dedup.Deduplicator(spark, str(path), str(tmp_path / "state"), digest_bytes, batch_bytes=10_000)
+    assert got(stream.run()) == wanted(rows)
+    more = made(2, 10_000, 60) + [(-5, "text 3"), (20_000, "TEXT 4"), (20_001, "new")]
+    put(spark, path, more)
+    assert got(stream.run()) == wanted(rows + more)
+    before = spark.read.parquet(stream.compared).count()
+    assert got(stream.run()) == wanted(rows + more)
+    assert spark.read.parquet(stream.compared).count() == before
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents"))
+    assert got(stream_dedup.deduplicated(spark, str(tmp_path / "documents"))) == []
+
+
+def test_changed_files_are_reported(spark, tmp_path):
+    path = tmp_path / "documents"
+    put(spark, path, [(k, "same") for k in range(20)], files=1)
+    stream = stream_dedup.Deduplicator(spark, str(path), str(tmp_path / "state"))
+    stream._take_in()
+    (file,) = path.glob("part-*.parquet")
+    put(spark, tmp_path / "other", [(1, "same")], files=1)
+    (other,) = (tmp_path / "other").glob("part-*.parquet")
+    file.write_bytes(other.read_bytes())
+    for checksum in path.glob(".part-*.crc"):
+        checksum.unlink()
+    with pytest.raises(ValueError, match="have changed"):
+        stream.run()
+
+
+def test_given_documents_equal_brute_force(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(path).collect()]
+    assert got(stream_dedup.deduplicated(spark, path)) == wanted(rows)
