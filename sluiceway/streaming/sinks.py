@@ -74,8 +74,12 @@ def _state_settings(target: StreamTarget) -> dict[str, str]:
     if target.rocksdb:
         provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         settings["spark.sql.streaming.stateStore.providerClass"] = provider
-        # One bound for all stores of an executor, whatever their number.
-        settings["spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"] = "true"
+        rocksdb = "spark.sql.streaming.stateStore.rocksdb"
+        # One bound for all stores of an executor, whatever their number, and no space set aside for each.
+        settings[f"{rocksdb}.boundedMemoryUsage"] = "true"
+        settings[f"{rocksdb}.allowFAllocate"] = "false"
+        # A commit uploads what a batch has changed and not the whole store.
+        settings[f"{rocksdb}.changelogCheckpointing.enabled"] = "true"
     return settings
 
 
