@@ -130,10 +130,13 @@ class Deduplicator:
         return f"{self.folder}/compared"
 
     def _fetched(self, wanted: DataFrame) -> DataFrame:
-        """Rows with a locator ``at`` and the text found there; a null text is empty."""
+        """Rows with a locator ``at`` and the text found there; a null text is empty.
+
+        The join is a shuffle at every size, as the number of wanted rows has no bound.
+        """
         docs = _located(read_source(self.spark, self.source))
         texts = docs.select(F.struct(*LOCATOR).alias("at"), F.coalesce("text", F.lit("")).alias("text"))
-        return wanted.join(texts, "at")
+        return wanted.hint("merge").join(texts, "at")
 
     def _mixed(self, placed: DataFrame, scratch: Scratch) -> DataFrame | None:
         """Documents of digests that stand for several texts, grouped by whole texts; None if there are none."""
