@@ -212,6 +212,11 @@ class Vocabulary:
                 tree.set(left, merges.get((codes[left], codes[at]), none)[0])
         return [code for code in codes if code >= 0]
 
+    def forget(self) -> None:
+        """Drops the words kept: the worker lives on after a task, and other tasks need its memory."""
+        self.kept.clear()
+        self.kept_pieces.clear()
+
     def encode(self, text: str | None) -> list[int]:
         """Codes of a text; control strings in it become their own codes."""
         found: list[int] = []
@@ -348,6 +353,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 rows = list(vocabulary.digests(texts))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
         finally:
+            vocabulary.forget()
             gc.enable()
 
     return docs.select("doc_id", digest("text").alias("codes")).select("doc_id", "codes.*")
