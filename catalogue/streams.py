@@ -11,28 +11,50 @@ from sluiceway import storage
 from sluiceway.plans import user_engagement
 from sluiceway.quality.expectations import keep_valid
 from sluiceway.sources.readers import read_stream
-from sluiceway.streaming import engagement, runner, sinks
+from sluiceway.streaming import engagement, late, runner, sinks
+from sluiceway.streaming.snapshots import Snapshots
 
 SECONDS = None
+#: Files that a table is dealt over, each a micro-batch of its own.
+FILES = 6
 
 
 def stream(spark, folder, name):
     return read_stream(spark, {"name": name, "type": "parquet", "path": path(folder, name)})
 
 
+def in_files(spark, folder, name, time):
+    """Source of a table whose days come in several files, every day whole in one but in no order; one file a trigger."""
+    rows = e.table(spark, folder, name)
+    placed = rows.withColumn("_place", F.pmod(F.xxhash64(F.to_date(time)), F.lit(FILES)).cast("int"))
+    dealt = storage.new_folder(spark, f"files-{name}")
+    placed.repartition(FILES, "_place").write.partitionBy("_place").parquet(dealt)
+    return {"name": name, "type": "parquet", "path": dealt, "schema": placed.schema, "options": {"maxFilesPerTrigger": "1"}}
+
+
+def dealt(spark, folder, name, time):
+    """Stream over the files of a table, in several micro-batches."""
+    return read_stream(spark, in_files(spark, folder, name, time)).drop("_place")
+
+
+def target_in(spark, folder, **settings):
+    return sinks.StreamTarget(
+        path=f"{folder}/table", checkpoint=f"{folder}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism, **settings
+    )
+
+
 def run(frame, spark, **settings):
     """Runs a stream into a new folder and reads that back."""
-    folder = storage.new_folder(spark, "stream")
-    target = sinks.StreamTarget(
-        path=f"{folder}/table",
-        checkpoint=f"{folder}/checkpoint",
-        state_partitions=spark.sparkContext.defaultParallelism,
-        **settings,
-    )
+    target = target_in(spark, storage.new_folder(spark, "stream"), **settings)
     sinks.run(frame, target, SECONDS)
     return sinks.read(spark, target, frame.schema)
 
 
+def snapshot(spark, name, frame):
+    """A dimension, computed once for all micro-batches."""
+    return Snapshots(spark, storage.new_folder(spark, "snapshots")).take(name, frame)
+
+
 @query("r1_stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def ingest(spark, folder):
     return run(stream(spark, folder, "events"), spark)
@@ -47,7 +69,7 @@ DAILY = """
 
 
 def daily_stream(spark, folder):
-    events = e.as_user_events(stream(spark, folder, "events"))
+    events = e.as_user_events(dealt(spark, folder, "events", "ts"))
     return user_engagement.daily_metrics(events, revenue=True)
 
 
@@ -99,8 +121,8 @@ def projection(spark, folder):
     ["user_events", "user_profiles"],
 )
 def static_join(spark, folder):
-    events = e.as_user_events(stream(spark, folder, "events")).select("event_id", "user_id", "event_type")
-    profiles = e.user_profiles(spark, folder).select("user_id", "segment", "country")
+    events = e.as_user_events(dealt(spark, folder, "events", "ts")).select("event_id", "user_id", "event_type")
+    profiles = snapshot(spark, "profiles", e.user_profiles(spark, folder).select("user_id", "segment", "country"))
     return run(events.join(profiles, "user_id", "left"), spark)
 
 
@@ -113,7 +135,8 @@ def static_join(spark, folder):
     ["user_daily"],
 )
 def view(spark, folder):
-    enriched = user_engagement.enrich(daily_stream(spark, folder), e.user_profiles(spark, folder))
+    profiles = snapshot(spark, "profiles", e.user_profiles(spark, folder))
+    enriched = user_engagement.enrich(daily_stream(spark, folder), profiles)
     stored = run(enriched.select("user_id", "date", "total_events", "engagement_score"), spark, **UPDATE)
     rules = [
         {"name": "user", "type": "null_check", "column": "user_id"},
@@ -136,9 +159,12 @@ def view(spark, folder):
     ["user_events"],
 )
 def closed_windows(spark, folder):
-    """Append mode gives the windows the watermark has closed; the last, open day is still in the state."""
-    events = e.as_user_events(stream(spark, folder, "events"))
-    return run(engagement.windowed_metrics(events), spark)
+    """Windows the watermark has closed, over files in no order; the last, open day is still in the state."""
+    events = e.as_user_events(dealt(spark, folder, "events", "ts")).select("user_id", "event_type", "timestamp")
+    folder = storage.new_folder(spark, "windows")
+    split = late.Split(spark, f"{folder}/events", "timestamp", "1 hour", engagement.window_end())
+    closed = late.run([(split, events)], engagement.windowed_metrics, target_in(spark, folder), SECONDS)
+    return engagement.settled_windows(closed, split)
 
 
 @query(
@@ -150,15 +176,19 @@ def closed_windows(spark, folder):
     """,
 )
 def stream_join(spark, folder):
-    """Orders are unique by key, so each line has at most one match; lines of an order are salted."""
-    orders = stream(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = stream(spark, folder, "lineitem").select(
+    """Both tables come in files of no order. Orders are unique by key, so each line has at most one match."""
+    orders = dealt(spark, folder, "orders", "o_orderdate").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = dealt(spark, folder, "lineitem", "l_shipdate").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
     )
-    joined = engagement.join_in_range(
-        orders, lines, "o_orderkey", "o_orderdate", "l_shipdate", "365 DAYS", "1 day", salts=1
+    folder = storage.new_folder(spark, "joined")
+    one = late.Split(spark, f"{folder}/orders", "o_orderdate", "1 day")
+    many = late.Split(spark, f"{folder}/lines", "l_shipdate", "1 day")
+    match = ("o_orderkey", "o_orderdate", "l_shipdate", "365 DAYS")
+    stored = late.run(
+        [(one, orders), (many, lines)], lambda a, b: engagement.join_in_range(a, b, *match, "1 day"), target_in(spark, folder), SECONDS
     )
-    stored = run(joined, spark)
+    stored = engagement.settled_join(stored, one, many, *match)
     times = {name: F.col(name).cast("timestamp_ntz") for name in ("o_orderdate", "l_shipdate")}
     return stored.withColumns(times)
 
@@ -229,7 +259,7 @@ def streaming_engagement(spark, folder):
     profiles = adapter("user_profiles", "as_user_profiles", [source["name"] for source in batch])
     spec = {
         "pipeline": {"name": "streaming_user_engagement"},
-        "sources": [{"name": "events", "type": "parquet", "path": path(folder, "events")}, *batch],
+        "sources": [in_files(spark, folder, "events", "ts"), *batch],
         "transformations": [profiles, *E6_STEPS],
         "streaming": {
             "keys": ["user_id", "date"],

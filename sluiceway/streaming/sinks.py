@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -105,23 +105,38 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> int:
     Returns how many rows came later than the watermark and were dropped. Stateful operators that
     aggregate before the shuffle count rows of groups there, so the number is a lower bound.
     """
-    dropped: dict[int, int] = {}
+    lost: dict[int, int] = {}
     begin = time.monotonic()
     while True:
         left = POLL if seconds is None else min(POLL, seconds - (time.monotonic() - begin))
         ended = left > 0 and query.awaitTermination(left)
-        for progress in query.recentProgress:
-            dropped[progress["batchId"]] = max(
-                dropped.get(progress["batchId"], 0),
-                sum(operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"]),
-            )
+        _note_dropped(query, lost)
         if ended:
-            return sum(dropped.values())
+            return sum(lost.values())
         if left <= 0:
             query.stop()
             raise TimeoutError(f"the stream did not end within {seconds} seconds")
 
 
+def _note_dropped(query: StreamingQuery, lost: dict[int, int]) -> None:
+    """Late rows by batch, of the batches that a query still knows of."""
+    for progress in query.recentProgress:
+        number = sum(operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"])
+        lost[progress["batchId"]] = max(lost.get(progress["batchId"], 0), number)
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Late rows that the last hundred batches of a query dropped."""
+    lost: dict[int, int] = {}
+    _note_dropped(query, lost)
+    return sum(lost.values())
+
+
+def following(target: StreamTarget) -> StreamTarget:
+    """The target of a query that takes rows as another one publishes them, until it is stopped."""
+    return replace(target, continuous=True, interval="200 milliseconds")
+
+
 def run(stream: DataFrame, target: StreamTarget, seconds: int | None = None) -> int:
     """Runs a query to its end; returns the number of late rows it dropped, if the target allows any."""
     late = finish(start(stream, target), seconds)
