@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluiceway import storage
 from sluiceway.functions.columns import half_up
 from sluiceway.operators.ranking import numbered
 
@@ -18,17 +21,24 @@ def distinct_count(df: DataFrame, column: str | Column) -> Column:
 
 
 def with_share_of_total(df: DataFrame, measure: str, output: str, digits: int = 2) -> DataFrame:
-    """Adds the percentage each row has of the column total.
+    """Adds the percentage each row has of the column total; see ``with_column_total``."""
+    rows, total = _with_total(df, measure)
+    return rows.withColumn(output, half_up(F.col(measure).cast("double") * 100 / total, digits))
+
 
-    The total is a scalar subquery: a window without partitions would move all rows to one task.
+def with_column_total(df: DataFrame, measure: str, output: str) -> DataFrame:
+    """Adds the column total to every row.
+
+    The frame is computed once and stored while the plan is built; the total is a scalar subquery over the
+    stored rows. A window without partitions would move all rows to one task.
     """
-    total = df.agg(F.sum(measure)).scalar()
-    return df.withColumn(output, half_up(F.col(measure).cast("double") * 100 / total, digits))
+    rows, total = _with_total(df, measure)
+    return rows.withColumn(output, total)
 
 
-def with_column_total(df: DataFrame, measure: str, output: str) -> DataFrame:
-    """Adds the column total to every row, again without a one-task window."""
-    return df.withColumn(output, df.agg(F.sum(measure)).scalar())
+def _with_total(df: DataFrame, measure: str) -> tuple[DataFrame, Column]:
+    rows = storage.stored(df)
+    return rows, rows.agg(F.sum(measure)).scalar()
 
 
 def pivot_counts(df: DataFrame, keys: list[str], column: str, values: list) -> DataFrame:
@@ -50,47 +60,37 @@ def collect_values(
     return rows.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(value)).alias(output))
 
 
+#: Distinct values of one key that a task sorts at most, and the parts that more of them are cut into.
+WITHIN = 50_000
+PARTS = 64
+
+
 def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, fraction: float, output: str, accuracy: int = 10_000
+    df: DataFrame, keys: list[str], value: str, fraction: float, output: str, accuracy: int = 10_000, within: int = WITHIN
 ) -> DataFrame:
     """Exact interpolated percentile per key without gathering a key in one task.
 
     Spark's own exact percentile holds every distinct value of a group in one buffer. Here a
     mergeable sketch first brackets the wanted rank for each key with more than ``accuracy`` values.
     Rows below the bracket are only counted, rows above it need no count, and equal values are one
-    row before the shuffle; the final window sees about ``8 / accuracy`` of such a key's values. Each task
-    sends a sketch of at most some ``accuracy`` numbers per key, so a larger ``accuracy`` trades a smaller
-    window for larger sketches. A sketch that missed its guarantee would raise an error, never give
+    row before the shuffle. Where more than ``within`` distinct values of a key are left, rank selection
+    is repeated: pivots cut them into parts, and only the parts with the wanted ranks go on. So no task
+    sorts more than ``within`` values of a key, whatever the key has. Each task sends a sketch of
+    at most some ``accuracy`` numbers per key. A sketch that missed its guarantee would raise an error, never give
     another number.
 
-    The frame is read twice and has to give the same values both times, as a scan or a stored
+    The values in the brackets are stored while the plan is built, and once more for each repetition. The
+    frame is read twice and has to give the same values both times, as a scan or a stored
     frame does; sums of doubles computed again may differ in their last digits.
     """
-    # One part in ``accuracy`` is the error of the sketch, the rest covers the two ranks in between
-    # which the result lies.
-    slack = 3 / accuracy
-    bracket_at = [max(fraction - slack, 0.0), min(fraction + slack, 1.0)]
-    count = F.count(F.lit(1))
-    whole = F.array(F.min("_v"), F.max("_v"))
-    bracket = F.when(count > accuracy, F.percentile_approx("_v", bracket_at, accuracy)).otherwise(whole)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    brackets = rows.groupBy(*keys).agg(
-        bracket.alias("_bracket"), (F.lit(fraction) * (count - 1)).alias("_rank")
-    )
-    joined = _join_null_safe(rows, brackets, keys)
-    counted = (
-        joined.where(F.col("_v") <= F.col("_bracket")[1])
-        .groupBy(*keys, "_rank", F.when(F.col("_v") >= F.col("_bracket")[0], F.col("_v")).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    placed = _around_rank(df, keys, value, fraction, accuracy, within)
     upto = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v"))
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumn("_end", F.sum("_n").over(upto))
+    placed = placed.withColumn("_end", F.sum("_n").over(upto))
     placed = placed.withColumn("_start", F.col("_end") - F.col("_n"))
 
     def at(rank: Column) -> Column:
-        here = (F.col("_start") <= rank) & (rank < F.col("_end"))
-        return F.max(F.when(here, F.col("_v")))
+        return F.max(F.when(_holds(rank), F.col("_v")))
 
     low, high = F.floor("_rank"), F.ceil("_rank")
     part = F.max(F.col("_rank") - low)
@@ -100,10 +100,64 @@ def exact_percentile(
     return ends.select(*keys, F.when(result.isNull(), missed).otherwise(result).alias(output))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join where null keys match each other, as in a grouping."""
+def _holds(rank: Column) -> Column:
+    """Whether the rows from ``_start`` to ``_end`` hold a rank."""
+    return (F.col("_start") <= rank) & (rank < F.col("_end"))
+
+
+def _around_rank(df: DataFrame, keys: list[str], value: str, fraction: float, accuracy: int, within: int) -> DataFrame:
+    """``_v`` and its number of rows ``_n`` for at most ``within`` values of a key around the wanted ``_rank``.
+
+    The row of a key without a value has the number of rows below them.
+    """
+    # One part in ``accuracy`` is the error of the sketch, the rest covers the two ranks in between
+    # which the result lies.
+    slack = 3 / accuracy
+    bracket_at = [max(fraction - slack, 0.0), min(fraction + slack, 1.0)]
+    count = F.count(F.lit(1))
+    whole = F.array(F.min("_v"), F.max("_v"))
+    bracket = F.when(count > accuracy, F.percentile_approx("_v", bracket_at, accuracy)).otherwise(whole)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    brackets = rows.groupBy(*keys).agg(
+        bracket.alias("_bracket"), (F.lit(fraction) * (count - 1)).alias("_rank")
+    )
+    joined = _join_null_safe(rows, brackets, keys)
+    inside = F.when(F.col("_v") >= F.col("_bracket")[0], F.col("_v")).alias("_v")
+    left = joined.where(F.col("_v") <= F.col("_bracket")[1]).groupBy(*keys, "_rank", inside).agg(count.alias("_n"))
+    left, done = storage.stored(left), []
+    while True:
+        crowded = left.groupBy(*keys).agg(F.count("_v").alias("_values")).where(F.col("_values") > within)
+        crowded = storage.stored(crowded.drop("_values"))
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, done, left)
+        done.append(_join_null_safe(left, crowded, keys, "left_anti"))
+        left = storage.stored(_narrowed(_join_null_safe(left, crowded, keys, "left_semi"), keys))
+
+
+def _narrowed(left: DataFrame, keys: list[str]) -> DataFrame:
+    """The values of each key in the one or two of its parts that hold the wanted ranks."""
+    at = [n / PARTS for n in range(1, PARTS)]
+    pivots = left.groupBy(*keys).agg(F.percentile_approx("_v", at, 16 * PARTS).alias("_pivots"))
+    part = F.size(F.filter("_pivots", lambda pivot: pivot < F.col("_v")))
+    # Rows that were below the values already are a part of their own, before all others.
+    cut = _join_null_safe(left, pivots, keys).withColumn("_part", F.when(F.col("_v").isNull(), -1).otherwise(part)).drop("_pivots")
+    upto = Window.partitionBy(*keys).orderBy("_part")
+    parts = cut.groupBy(*keys, "_rank", "_part").agg(F.sum("_n").alias("_rows"))
+    parts = parts.withColumn("_end", F.sum("_rows").over(upto)).withColumn("_start", F.col("_end") - F.col("_rows"))
+    wanted = _holds(F.floor("_rank")) | _holds(F.ceil("_rank"))
+    chosen = parts.where(wanted & (F.col("_part") >= 0))
+    chosen = chosen.groupBy(*keys, "_rank").agg(F.collect_list("_part").alias("_parts"), F.min("_start").alias("_below"))
+    kept = _join_null_safe(cut.drop("_rank"), chosen, keys).where(F.array_contains("_parts", F.col("_part")))
+    below = chosen.select(*keys, "_rank", F.lit(None).cast("double").alias("_v"), F.col("_below").alias("_n"))
+    return kept.select(*keys, "_rank", "_v", "_n").unionByName(below)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join where null keys match each other, as in a grouping."""
     same = F.lit(True)
     for key in keys:
         same = same & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
-    others = [F.col(f"b.{c}") for c in right.columns if c not in keys]
-    return left.alias("a").join(right.alias("b"), same).select("a.*", *others)
+    joined = left.alias("a").join(right.alias("b"), same, how)
+    if how != "inner":
+        return joined
+    return joined.select("a.*", *[F.col(f"b.{c}") for c in right.columns if c not in keys])

@@ -109,6 +109,52 @@ def test_exact_percentile(spark, fraction):
         assert all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
 
 
+@pytest.mark.parametrize("fraction", [0.0, 0.3, 0.5, 1.0])
+def test_exact_percentile_of_crowded_brackets(spark, fraction):
+    """A coarse sketch and a small bound, so that rank selection is repeated; ties at both ends of a bracket stay whole."""
+    rng = random.Random(4)
+    data = [("hot", rng.choice([rng.gauss(0, 1), 0.25, -0.25])) for _ in range(6_000)] + [("b", float(i)) for i in range(3_000)]
+    data += [("two", float(i % 2)) for i in range(2_000)] + [(None, rng.random()) for _ in range(900)] + [("one", 7.0)]
+    frame = spark.createDataFrame(data, "k string, v double").repartition(5)
+    wanted = dict(frame.groupBy("k").agg(F.percentile("v", fraction)).collect())
+    found = dict(aggregates.exact_percentile(frame, ["k"], "v", fraction, "p", accuracy=20, within=15).collect())
+    assert found.keys() == wanted.keys()
+    assert all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
+    left = aggregates._around_rank(frame, ["k"], "v", fraction, accuracy=20, within=15)
+    assert left.groupBy("k").agg(F.count("_v").alias("n")).agg(F.max("n")).first()[0] <= 15
+
+
+def test_percentile_of_one_key_of_five_million_values(spark):
+    """No task sorts more than a thousand of them."""
+    frame = spark.range(5_000_000).select(F.lit(1).alias("k"), (F.xxhash64("id") / 2**40).alias("v"))
+    left = aggregates._around_rank(frame, ["k"], "v", 0.5, 1_000, 1_000)
+    assert left.count() <= 1_001
+    found = aggregates.exact_percentile(frame, ["k"], "v", 0.5, "p", 1_000, 1_000).first()["p"]
+    below, upto = frame.agg(F.count_if(F.col("v") < found), F.count_if(F.col("v") <= found)).first()
+    assert below <= 2_500_000 <= upto
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_totals_run_their_plan_once(spark, threshold):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = spark.range(1_000).selectExpr("id % 7 AS k", "CAST(id AS double) AS v").mapInPandas(count, "k bigint, v double")
+    sums = rows.groupBy("k").agg(F.sum("v").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        shares = aggregates.with_share_of_total(sums, "v", "share", 6).collect()
+        assert read.value == 1_000 and abs(sum(r.share for r in shares) - 100) < 1e-4
+        totals = aggregates.with_column_total(sums, "v", "total").collect()
+        assert read.value == 2_000 and {r.total for r in totals} == {499_500.0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_collect_values_are_slices(spark):
     data = [("hot", i, i % 7) for i in range(1_000)] + [("cold", i, i) for i in range(3)] + [(None, 1, 5), ("cold", 9, None)]
     frame = spark.createDataFrame(data, "k string, id int, v int")
