@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from sluiceway import storage
 from sluiceway.errors import SinkError
 
-# Up to this many touched partitions are listed in a filter, which Spark prunes folders by; more are found by a join.
+# Up to this many touched partitions are listed in a filter, which Spark prunes folders by; more are read by the
+# names of their folders, so many in one scan.
 LISTED_PARTITIONS = 1_000
+FOLDERS_IN_A_SCAN = 5_000
 
 
 def _known(keys: list[str]) -> Column:
@@ -44,14 +46,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(keyless).unionByName(source)
 
 
-def touched(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
-    """Target rows in the partitions the source has rows for."""
+def touched(target: DataFrame, source: DataFrame, columns: list[str], path: str) -> DataFrame:
+    """Target rows in the partitions the source has rows for; no file of another partition is read."""
     values = source.select(*columns).distinct()
     found = values.limit(LISTED_PARTITIONS + 1).collect()
     if len(found) > LISTED_PARTITIONS:
-        named = values.select(*[F.col(c).alias(f"_touched_{c}") for c in columns])
-        same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in columns]
-        return target.join(named, reduce(lambda a, b: a & b, same), "left_semi")
+        return _in_folders(target, values, columns, path)
     if not found:
         return target.limit(0)
     if len(columns) == 1:
@@ -66,6 +66,27 @@ def touched(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFra
     return target.where(_any(tests))
 
 
+def _in_folders(target: DataFrame, values: DataFrame, columns: list[str], path: str) -> DataFrame:
+    """Target rows of very many partitions.
+
+    The values are written as folders of their own, so that Spark's writer gives them the names it has
+    given the target's, and the folders that both have are read. Names are all the driver sees, of which
+    the index of a partitioned scan holds as many.
+    """
+    spark, depth = target.sparkSession, len(columns)
+    named = storage.sibling(path, "touched")
+    values.withColumn("_there", F.lit(True)).write.partitionBy(*columns).parquet(named)
+    there = set(storage.subfolders(spark, path, depth))
+    names = sorted(there.intersection(storage.subfolders(spark, named, depth)))
+    storage.remove(spark, named)
+    reader = spark.read.schema(target.schema).option("basePath", path)
+    scans = [
+        reader.parquet(*[path.rstrip("/") + name for name in names[at : at + FOLDERS_IN_A_SCAN]])
+        for at in range(0, len(names), FOLDERS_IN_A_SCAN)
+    ]
+    return reduce(DataFrame.unionByName, scans) if scans else target.limit(0)
+
+
 def _any(tests: list[Column]) -> Column:
     """Tests joined by OR as a balanced tree; a chain of a thousand would overflow the stack."""
     if len(tests) == 1:
@@ -98,7 +119,7 @@ def merge_folder(source: DataFrame, path: str, keys: list[str], partition_by: li
         storage.swap_in(spark, staged, path)
         return
     target = read_as(spark, path, {c: source.schema[c].dataType for c in partition_by if c in source.columns})
-    affected = touched(target, like_target(source, target), partition_by) if by_part else target
+    affected = touched(target, like_target(source, target), partition_by, path) if by_part else target
     merged = arranged(upsert(affected, source, keys), partition_by)
     merged.write.partitionBy(*partition_by).parquet(staged)
     storage.swap_in(spark, staged, path, depth)

@@ -131,8 +131,12 @@ def _write_staged(df: DataFrame, target: dict, measures: list[Column]) -> tuple[
 def _publish_staged(df: DataFrame, staged: str, rows: int, target: dict) -> WriteResult:
     spark = df.sparkSession
     mode = target.get("mode", "append")
-    if target["type"] == "parquet" and mode == "overwrite" and not is_table_name(target["path"]):
-        storage.swap_in(spark, staged, target["path"])
+    if target["type"] == "parquet" and mode != "merge" and not is_table_name(target["path"]):
+        if mode == "overwrite":
+            storage.swap_in(spark, staged, target["path"])
+        else:
+            storage.recover(spark, target["path"])
+            storage.publish(spark, staged, target["path"])
         _optimize(df, target)
         return _result(target, rows)
     stored = spark.read.schema(df.schema).parquet(staged)

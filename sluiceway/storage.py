@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,9 @@ from sluiceway.errors import SluicewayError
 
 _own_folders: dict[str, str] = {}
 
+#: Files that are renamed at a time.
+MOVERS = 16
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
@@ -110,6 +114,43 @@ def subfolders(spark: SparkSession, path: str, depth: int) -> list[str]:
     return [relative for relative, _ in level]
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Moves the files of a staged folder into a folder, below the same partitions.
+
+    Spark gives files names that no other job gives, so none meets one that is there. The rename of the staged
+    folder is the point of no return: from then on ``recover`` moves whatever a crash has left.
+    """
+    parent, _, name = path.rstrip("/").rpartition("/")
+    arriving = f"{parent}/_arriving_{name}_{unused()}" if parent or path.startswith("/") else f"_arriving_{name}_{unused()}"
+    move(spark, staged, arriving)
+    _move_files(spark, arriving, path)
+
+
+def _move_files(spark: SparkSession, folder: str, path: str) -> None:
+    fs, location = _locate(spark, folder)
+    root, names = str(fs.resolvePath(location)), []
+    listed = fs.listFiles(location, True)
+    while listed.hasNext():
+        relative = str(listed.next().getPath())[len(root) :]
+        if not relative.rpartition("/")[2].startswith(("_", ".")):
+            names.append(relative)
+    make_folder(spark, path)
+    for subfolder in sorted({name.rpartition("/")[0] for name in names} - {""}):
+        make_folder(spark, path.rstrip("/") + subfolder)
+    with ThreadPoolExecutor(MOVERS) as movers:
+        list(movers.map(lambda name: move(spark, folder + name, path.rstrip("/") + name), names))
+    remove(spark, folder)
+
+
+def _arriving(spark: SparkSession, path: str) -> list[str]:
+    """Folders whose files a broken-off job was moving into a folder."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    fs, location = _locate(spark, parent or ("/" if path.startswith("/") else "."))
+    if not fs.exists(location):
+        return []
+    return [str(s.getPath()) for s in fs.listStatus(location) if s.getPath().getName().startswith(f"_arriving_{name}_")]
+
+
 def _retired(path: str) -> str:
     parent, _, name = path.rstrip("/").rpartition("/")
     return f"{parent}/_retired_{name}" if parent or path.startswith("/") else f"_retired_{name}"
@@ -140,7 +181,9 @@ def swap_in(spark: SparkSession, staged: str, path: str, depth: int = 0) -> None
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Ends a swap that was broken off: folders without a successor come back."""
+    """Ends a swap or a publication that was broken off: folders without a successor come back, files arrive."""
+    for folder in _arriving(spark, path):
+        _move_files(spark, folder, path)
     aside = _retired(path)
     if not exists(spark, aside):
         return

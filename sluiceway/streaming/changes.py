@@ -76,7 +76,7 @@ class ChangeLog:
         if self._has_base():
             base = self._base(changes.drop(VERSION).schema)
             if self.partition_by and set(self.partition_by) <= set(self.keys):
-                base = merge.touched(base, changes, self.partition_by)
+                base = merge.touched(base, changes, self.partition_by, self.base)
                 depth = len(self.partition_by)
             rows = changes.unionByName(base.withColumn(VERSION, F.lit(-1)))
         newest = merge.arranged(latest(rows, self.keys, [F.desc(VERSION)]).drop(VERSION), self.partition_by)

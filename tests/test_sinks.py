@@ -225,6 +225,64 @@ def test_partitioned_merge_touches_only_its_partitions(spark, tmp_path, monkeypa
     assert files(tmp_path / "t" / "part=b") == untouched
 
 
+def test_merge_reads_the_touched_files_alone(spark, tmp_path, monkeypatch):
+    """Beyond the listed number of partitions, too: of 200 folders a quarter is touched and no other file read."""
+    monkeypatch.setattr(merge, "LISTED_PARTITIONS", 20)
+    monkeypatch.setattr(merge, "FOLDERS_IN_A_SCAN", 20)
+    part = "if(id % 100 = 7, NULL, concat('a:', lpad(id, 4, '0'))) AS part"
+    path = str(tmp_path / "t")
+    wanted = target(path, "merge", merge_keys=["id", "part"], partition_by=["part"])
+    write(spark.range(200).selectExpr("id", part, "1 AS v").repartition(1), wanted)
+    newer = spark.range(0, 240, 4).selectExpr("id", part, "2 AS v")
+    stored = merge.read_as(spark, path, {"part": newer.schema["part"].dataType})
+    read = merge.touched(stored, newer, ["part"], path)
+    folders = {file.rpartition("/")[0] for file in read.inputFiles()}
+    assert len(folders) == 50 and read.count() == 50
+    write(newer, wanted)
+    found = {row.id: (row.part, row.v) for row in merge.read_as(spark, path, {"part": newer.schema["part"].dataType}).collect()}
+    assert len(found) == 210 and found[4] == ("a:0004", 2) and found[5] == ("a:0005", 1) and found[7] == (None, 1)
+    assert hidden(tmp_path) == []
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_checked_append_writes_once(spark, tmp_path, jobs, partition_by):
+    frame = spark.range(100).selectExpr("id", "if(id < 3, NULL, concat('p', id % 4)) AS part")
+    wanted = target(tmp_path / "t", "append", partition_by=partition_by)
+    rules = {"rules": [{"name": "ids", "type": "null_check", "column": "id"}]}
+    runs = [lambda: writer.write_checked(frame, wanted, rules) for _ in range(2)]
+    plain = jobs(lambda: merge.arranged(frame, partition_by).write.partitionBy(*partition_by).parquet(f"{tmp_path}/plain"))
+    assert [jobs(run) for run in runs] == [plain] * 2
+    assert spark.read.parquet(wanted["path"]).count() == 200
+    assert spark.read.parquet(wanted["path"]).where("part IS NULL").count() == 6
+    assert hidden(tmp_path) == []
+    with pytest.raises(GateError):
+        writer.write_checked(frame, wanted, {"rules": [{"name": "many", "type": "row_count", "min_count": 999}]})
+    assert hidden(tmp_path) == []
+    assert spark.read.parquet(wanted["path"]).count() == 200
+
+
+def test_checked_append_arrives_after_a_crash(spark, tmp_path, monkeypatch):
+    """The driver ends while files move; the next write moves the rest before its own."""
+    frame = spark.range(40).selectExpr("id", "id % 4 AS part")
+    wanted = target(tmp_path / "t", "append", partition_by=["part"])
+    rules = {"rules": [{"name": "ids", "type": "null_check", "column": "id"}]}
+    real, calls = storage.move, []
+
+    def move(*arguments):
+        calls.append(arguments)
+        if len(calls) > 3:
+            raise KeyboardInterrupt
+        real(*arguments)
+
+    monkeypatch.setattr(storage, "move", move)
+    with pytest.raises(KeyboardInterrupt):
+        writer.write_checked(frame, wanted, rules)
+    monkeypatch.setattr(storage, "move", real)
+    assert 0 < spark.read.parquet(wanted["path"]).count() < 40
+    writer.write_checked(frame, wanted, rules)
+    assert spark.read.parquet(wanted["path"]).count() == 80 and hidden(tmp_path) == []
+
+
 def test_merge_on_two_partition_columns(spark, tmp_path):
     rows = [(1, "a", 1, 10), (2, "a", 2, 20), (3, None, 1, 30)]
     schema = "id int, p string, q int, v int"
