@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.projections import step
 from catalogue.registry import half_up, query
 from sluiceway import entities as e
+from sluiceway import storage
 from sluiceway.operators import aggregates as a
 from sluiceway.plans import reports, segment_performance, user_engagement
 from sluiceway.plans.steps import apply_step
@@ -171,6 +172,19 @@ def approx_percentile(spark, folder):
     return lines.groupBy("l_returnflag").agg(F.percentile_approx("l_extendedprice", 0.5).alias("median_price"))
 
 
+@query(
+    "a17_quantile_sketch",
+    "SELECT l_returnflag, count(*) AS rows, true AS within_bound FROM lineitem GROUP BY l_returnflag",
+)
+def quantile_sketch(spark, folder):
+    """Medians from stored sketches of every month, and whether their ranks hold."""
+    lines = e.table(spark, folder, "lineitem").select("l_returnflag", "l_shipdate", "l_extendedprice")
+    month = F.trunc("l_shipdate", "month").alias("month")
+    sketches = storage.stored(a.quantile_sketches(lines, ["l_returnflag", month], "l_extendedprice"))
+    medians = a.sketched_quantile(sketches, ["l_returnflag"], 0.5, "median_price")
+    return a.with_rank_check(lines, medians, ["l_returnflag"], "l_extendedprice", "median_price", 0.5)
+
+
 @query(
     "a18_exact_percentile",
     "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median_price FROM lineitem "

@@ -171,6 +171,20 @@ def sample_keys(spark, folder):
     return filters.sample(e.user_events(spark, folder), 0.1, "user_id")
 
 
+@query(
+    "p12_sample_of_size",
+    """
+    SELECT event_id, user_id, event_type FROM user_events WHERE user_id IN (
+        SELECT user_id FROM (SELECT DISTINCT user_id FROM user_events WHERE user_id IS NOT NULL)
+        ORDER BY md5('42:' || CAST(user_id AS VARCHAR)), user_id LIMIT 100)
+    """,
+    ["user_events"],
+)
+def sample_of_size(spark, folder):
+    """All events of a hundred users."""
+    return filters.sample_of_size(e.user_events(spark, folder).select("event_id", "user_id", "event_type"), 100, "user_id")
+
+
 @query("p12_sample_rows")
 def sample_rows(spark, folder):
     return filters.sample(e.table(spark, folder, "lineitem"), 0.1)

@@ -141,6 +141,27 @@ def distinct_estimates(spark, folder):
     return inventory.distinct_estimates(e.table(spark, folder, "events"), "events")
 
 
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query(
+    "s12_distinct_sketches",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, true AS within_bound FROM events" for c in EVENT_COLUMNS
+    ),
+)
+def distinct_sketches(spark, folder):
+    """Sketches per day are stored, merged to those of the table, and held against exact counts."""
+    events = e.table(spark, folder, "events")
+    sketches = storage.stored(inventory.distinct_sketches(events, EVENT_COLUMNS, [F.to_date("ts").alias("day")]))
+    estimates = inventory.merged_estimates(sketches)
+    exact = events.agg(*[F.count_distinct(c).alias(c) for c in EVENT_COLUMNS])
+    exact = exact.unpivot([], list(EVENT_COLUMNS), "column_name", "distinct_values")
+    off = F.abs(F.col("estimate") - F.col("distinct_values"))
+    within = off <= F.greatest(F.lit(1.0), F.col("distinct_values") * inventory.ERROR)
+    return exact.join(estimates, "column_name").select("column_name", "distinct_values", within.alias("within_bound"))
+
+
 def drawn(id: str, stream: int, n: int) -> str:
     """SQL of ``synthetic.draw``."""
     beyond = f"({id} // {synthetic.FOLD}) % {synthetic.FOLD} * {synthetic.SHIFT + stream * synthetic.STEP}"
@@ -300,18 +321,21 @@ def merge_folder(spark, folder):
 
 
 @query(
-    "w9_z_value",
-    "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, "
-    + " + ".join(
-        f"((CAST({c} AS BIGINT) >> {bit}) & 1) * {1 << (bit * 2 + i)}"
-        for bit in range(6)
-        for i, c in enumerate(["l_quantity", "l_linenumber"])
-    )
-    + " AS z FROM lineitem",
+    "w9_clustered_files",
+    """
+    SELECT count(*) AS rows, min(l_partkey) AS lowest, max(l_partkey) AS highest, true AS several_files, 0 AS overlapping
+    FROM lineitem
+    """,
 )
-def z_value(spark, folder):
-    lines = e.table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    return lines.withColumn("z", layout.interleave([F.col("l_quantity"), F.col("l_linenumber")], 6))
+def clustered_files(spark, folder):
+    """Lines written in ranges of their part; the ranges of the written files, which may only meet at their ends."""
+    lines = e.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    written = storage.new_folder(spark, "clustered")
+    layout.clustered(lines, ["l_partkey", "l_orderkey"], 16).write.parquet(written)
+    ranges = layout.file_ranges(spark.read.parquet(written), "l_partkey")
+    return layout.overlaps(ranges).select(
+        "rows", "lowest", "highest", (F.col("files") > 1).alias("several_files"), "overlapping"
+    )
 
 
 @query(
@@ -345,6 +369,18 @@ def run_spec(spark, folder):
     return spark.read.parquet(target).withColumn("session_duration_minutes", minutes)
 
 
+@query(
+    "s7_source_rows",
+    " UNION ALL ".join(f"SELECT '{t}' AS source, count(*) AS rows FROM {t}" for t in ("events", "customer", "nation", "orders")),
+)
+def source_rows(spark, folder):
+    """Rows read of each source, counted by the one job that writes the result."""
+    spec = engagement_spec(folder, storage.new_folder(spark, "target"))
+    outcome = runner.run(spark, {**spec, "count_sources": True})
+    assert outcome.status == "success", outcome.error
+    return spark.createDataFrame(list(outcome.metrics["source_rows"].items()), "source string, rows bigint")
+
+
 def engagement_spec(folder, target):
     """The engagement spec over the tables, with two steps in front that make its sources of them."""
     none = {"type": "parquet", "path": "made by a step"}

@@ -88,6 +88,17 @@ def top_k(spark, folder):
     return ranking.top(sums, 10, F.desc("paid"), F.asc("o_custkey"))
 
 
+@query("t3_limit_rows", "SELECT least(5, count(*)) AS rows, least(5, count(*)) AS known, 5 AS asked FROM orders")
+def limit_rows(spark, folder):
+    """What holds of any five rows: their number, and that the table has them."""
+    orders = e.table(spark, folder, "orders")
+    five = orders.limit(5).select("o_orderkey", "o_totalprice")
+    known = five.join(orders.select("o_orderkey", "o_totalprice"), ["o_orderkey", "o_totalprice"], "left_semi")
+    counts = five.select(F.lit(1).alias("rows"), F.lit(0).alias("known"))
+    counts = counts.unionByName(known.select(F.lit(0).alias("rows"), F.lit(1).alias("known")))
+    return counts.agg(F.sum("rows").alias("rows"), F.sum("known").alias("known")).withColumn("asked", F.lit(5))
+
+
 @query("t3_limit")
 def limit(spark, folder):
     return e.table(spark, folder, "orders").limit(5)

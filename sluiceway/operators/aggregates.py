@@ -60,6 +60,33 @@ def collect_values(
     return rows.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(value)).alias(output))
 
 
+#: Size of quantile sketches, and the share of rows by which the rank of an answer may be off.
+SKETCH_SIZE, RANK_ERROR = 1_000, 0.01
+
+
+def quantile_sketches(df: DataFrame, keys: list[str | Column], value: str) -> DataFrame:
+    """A quantile sketch of the non-null values of each key; keys may hold a part of a table, such as a month.
+
+    Sketches can be stored and merged, so quantiles of a table that grows need its new parts only.
+    """
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), SKETCH_SIZE).alias("sketch"))
+
+
+def sketched_quantile(sketches: DataFrame, keys: list[str], fraction: float, output: str) -> DataFrame:
+    """Value whose rank is ``fraction`` of the rows, give or take ``RANK_ERROR``, from all sketches of each key."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("_sketch"))
+    return merged.select(*keys, F.kll_sketch_get_quantile_double("_sketch", F.lit(float(fraction))).alias(output))
+
+
+def with_rank_check(df: DataFrame, answers: DataFrame, keys: list[str], value: str, answer: str, fraction: float) -> DataFrame:
+    """Per key its ``rows`` and whether the rank of an answer is within ``RANK_ERROR`` of the one asked for."""
+    joined = _join_null_safe(df.where(F.col(value).isNotNull()).select(*keys, value), answers, keys)
+    count, by = F.count(F.lit(1)), F.col(value) - F.col(answer)
+    held = (F.count_if(by < 0) / count <= fraction + RANK_ERROR) & (F.count_if(by <= 0) / count >= fraction - RANK_ERROR)
+    return joined.groupBy(*keys).agg(count.alias("rows"), held.alias("within_bound"))
+
+
 #: Distinct values of one key that a task sorts at most, and the parts that more of them are cut into.
 WITHIN = 50_000
 PARTS = 64

@@ -26,6 +26,18 @@ def by_date_range(df: DataFrame, start: str | date, end: str | date, column: str
     return df.where(F.col(column).between(first, last))
 
 
+def sample_of_size(df: DataFrame, size: int, key: str, seed: int = 42) -> DataFrame:
+    """The rows of ``size`` keys, those whose digests with the seed are the smallest.
+
+    It needs no number of keys beforehand, and any engine with an MD5 draws the same ones; keys of a
+    larger sample include those of a smaller one. Each task keeps its own ``size`` smallest, so that
+    number is for samples that fit one task; null keys are not drawn.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    drawn = df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(digest, key).limit(size)
+    return df.join(drawn, key, "left_semi")
+
+
 def sample(df: DataFrame, fraction: float, key: str | list[str] | None = None, seed: int = 42) -> DataFrame:
     """A sample of rows, or, with ``key``, of whole keys.
 

@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
+from threading import Thread
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from sluiceway.errors import SpecError
 from sluiceway.plans.steps import chain, prepare
 from sluiceway.quality.rules import check_rules
 from sluiceway.quality.suite import Report
 from sluiceway.sinks.writer import check_target, write_checked
-from sluiceway.sources.readers import read_sources
+from sluiceway.sources.readers import counted, read_sources
 
 log = logging.getLogger(__name__)
 
+#: Seconds to wait for the counts of a job that has ended; they come with its last event.
+PATIENCE = 30
+
 
 @dataclass
 class RunResult:
@@ -48,12 +53,16 @@ def check_spec(spec: dict) -> str:
     return name
 
 
-def build(spark: SparkSession, spec: dict) -> tuple[DataFrame, dict[str, DataFrame]]:
+def build(spark: SparkSession, spec: dict, seen: dict[str, Observation] | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Result frame of a spec and all named frames, without running any job.
 
-    The result is what the last step makes, or the first source if there are no steps.
+    The result is what the last step makes, or the first source if there are no steps. ``seen`` takes up a
+    count for every source that the result reads.
     """
     frames = read_sources(spark, spec["sources"])
+    if seen is not None:
+        for name in read_by_result(spec):
+            frames[name], seen[name] = counted(frames[name], f"{name}-{uuid.uuid4().hex}")
     steps = spec.get("transformations") or []
     if not steps:
         return frames[spec["sources"][0]["name"]], frames
@@ -61,12 +70,40 @@ def build(spark: SparkSession, spec: dict) -> tuple[DataFrame, dict[str, DataFra
     return frames[steps[-1]["output"]], frames
 
 
+def read_by_result(spec: dict) -> list[str]:
+    """Sources that the last step needs, in their order."""
+    steps = spec.get("transformations") or []
+    needed = {steps[-1]["output"] if steps else spec["sources"][0]["name"]}
+    for step in reversed(steps):
+        if step["output"] in needed:
+            # A step may read a table by the very name of its result.
+            needed.discard(step["output"])
+            needed.update(step["inputs"])
+    return [source["name"] for source in spec["sources"] if source["name"] in needed]
+
+
+def _rows(seen: Observation) -> int | None:
+    """What an observation has counted; None where the optimizer left its source out of the job."""
+    found: list[int | None] = []
+    waiting = Thread(target=lambda: found.append(seen.get.get("rows")), daemon=True)
+    waiting.start()
+    waiting.join(PATIENCE)
+    return found[0] if found else None
+
+
 def run(spark: SparkSession, spec: dict) -> RunResult:
-    """Runs a spec to its end; the session is left as it is."""
+    """Runs a spec to its end; the session is left as it is.
+
+    With ``"count_sources": True`` the metrics have ``source_rows``, the rows that were read of every source
+    the result needs. They are counted by the job that writes; filters are then not pushed into the scans,
+    which is why they are counted only if asked for.
+    """
     name = "unknown"
+    seen: dict[str, Observation] = {}
     try:
         name = check_spec(spec)
-        result, _ = build(spark, spec)
+        counting = bool(spec.get("count_sources"))
+        result, _ = build(spark, spec, seen if counting else None)
         written, report = write_checked(result, spec["target"], spec.get("validation"))
     except Exception as error:
         log.error("%s failed: %s", name, error)
@@ -78,6 +115,8 @@ def run(spark: SparkSession, spec: dict) -> RunResult:
         "validation_rules_executed": len(report.executed),
         "validation_rules_passed": len(report.passed),
     }
+    if counting:
+        metrics["source_rows"] = {source: _rows(observation) for source, observation in seen.items()}
     return RunResult("success", name, metrics, report.all_passed(), report=report)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,16 +14,6 @@ from sluiceway.sinks import merge
 FILE_BYTES = 256 * 1024 * 1024
 
 
-def interleave(places: list[Column], bits: int) -> Column:
-    """Z-order value: bit ``b`` of column ``c`` becomes bit ``b * len(places) + c``."""
-    value = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for column, place in enumerate(places):
-            digit = F.shiftright(place.cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
-            value = value.bitwiseOR(F.shiftleft(digit, bit * len(places) + column))
-    return value
-
-
 def clustered(df: DataFrame, columns: list[str], files: int, within: list[str] | None = None) -> DataFrame:
     """Rows in ``files`` ranges of the columns, in their order, inside each ``within`` value.
 
@@ -34,6 +24,30 @@ def clustered(df: DataFrame, columns: list[str], files: int, within: list[str] |
     return numbered.repartitionByRange(files, *order, "_tie").sortWithinPartitions(*order).drop("_tie")
 
 
+def file_ranges(df: DataFrame, column: str) -> DataFrame:
+    """``file, rows, lowest, highest`` of a column for every file of a scan."""
+    file = df.metadataColumn("_metadata")["file_path"]
+    return df.groupBy(file.alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(column).alias("lowest"), F.max(column).alias("highest")
+    )
+
+
+def overlaps(ranges: DataFrame) -> DataFrame:
+    """One row: ``files, rows, lowest, highest`` and how many files begin before another one below them ends.
+
+    Files in order are compared as one array, which has an entry for each file and not for each row.
+    """
+    found = ranges.where(F.col("lowest").isNotNull()).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("rows").alias("rows"),
+        F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"),
+        F.array_sort(F.collect_list(F.struct("lowest", "highest"))).alias("_all"),
+    )
+    early = F.filter("_all", lambda range, at: (at > 0) & (range["lowest"] < F.get("_all", at - 1)["highest"]))
+    return found.withColumn("overlapping", F.size(early)).drop("_all")
+
+
 def compact(
     spark: SparkSession,
     path: str,

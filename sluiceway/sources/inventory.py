@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway import storage
@@ -68,6 +68,31 @@ def distinct_estimates(df: DataFrame, name: str) -> DataFrame:
     return df.agg(*measures).select(F.lit(name).alias("table_name"), F.inline(F.array(*per_column)))
 
 
+#: Sketches of 2 ** LOG_SIZE registers, and four times their standard error.
+LOG_SIZE = 14
+ERROR = 4 * 1.04 / 2 ** (LOG_SIZE / 2)
+
+
+def distinct_sketches(df: DataFrame, columns: tuple[str, ...] | list[str], parts: list[Column]) -> DataFrame:
+    """``column_name, sketch`` per part of a table, such as a day.
+
+    Sketches can be stored and merged, so the distinct values of a table that grows need its new parts only.
+    Values count as their text.
+    """
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string"), LOG_SIZE).alias(f"_sketch_{i}") for i, c in enumerate(columns)]
+    grouped = df.groupBy(*parts)
+    named = [F.struct(F.lit(c).alias("column_name"), F.col(f"_sketch_{i}").alias("sketch")) for i, c in enumerate(columns)]
+    found = grouped.agg(*sketches)
+    kept = [name for name in found.columns if not name.startswith("_sketch_")]
+    return found.select(*kept, F.inline(F.array(*named)))
+
+
+def merged_estimates(sketches: DataFrame) -> DataFrame:
+    """``column_name, estimate`` over all parts; off by at most ``ERROR`` of the number, but for 1 in 16,000 times."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch")).cast("double")
+    return sketches.groupBy("column_name").agg(merged.alias("estimate"))
+
+
 def schema_overview(spark: SparkSession, schema: str) -> DataFrame:
     """The overview of every table and view that a catalog schema lists; temporary views are left out."""
     listed = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]

@@ -76,7 +76,7 @@ def read_sources(spark: SparkSession, sources: list[dict]) -> dict[str, DataFram
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame with its rows counted by whichever job reads it, so no job of its own.
+    """The frame with its rows counted by whichever job reads it whole, so no job of its own.
 
     Filters are not pushed below the count, so it is meant for sources that are read whole.
     """

@@ -289,3 +289,26 @@ def test_missed_percentile_bracket_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(aggregates.F, "percentile_approx", lambda *arguments: outside)
     with pytest.raises(PySparkException, match="missed"):
         aggregates.exact_percentile(frame, ["k"], "v", 0.5, "p", accuracy=100).collect()
+
+
+def test_sketches_of_parts_merge(spark):
+    frame = spark.range(60_000).selectExpr("id % 3 AS k", "id % 10 AS part", "CAST(pmod(xxhash64(id), 5000) AS double) AS v")
+    frame = frame.unionByName(spark.sql("SELECT 9L AS k, 0L AS part, CAST(NULL AS double) AS v"))
+    sketches = aggregates.quantile_sketches(frame, ["k", "part"], "v")
+    assert sketches.count() == 30
+    for fraction in (0.0, 0.25, 0.5, 1.0):
+        answers = aggregates.sketched_quantile(sketches, ["k"], fraction, "q")
+        checked = aggregates.with_rank_check(frame, answers, ["k"], "v", "q", fraction).collect()
+        assert {(r.k, r.rows, r.within_bound) for r in checked} == {(k, 20_000, True) for k in range(3)}
+    wrong = answers.withColumn("q", F.lit(100.0))
+    assert not any(r.within_bound for r in aggregates.with_rank_check(frame, wrong, ["k"], "v", "q", 0.5).collect())
+
+
+def test_sample_of_a_size(spark):
+    frame = spark.range(3_000).selectExpr("if(id % 100 = 0, NULL, id % 200) AS k", "id")
+    small, large = (filters.sample_of_size(frame, n, "k") for n in (7, 20))
+    keys = {r.k for r in small.collect()}
+    assert len(keys) == 7 and None not in keys and keys < {r.k for r in large.collect()}
+    assert small.count() == frame.where(F.col("k").isin(list(keys))).count()
+    assert filters.sample_of_size(frame, 500, "k").count() == 2_970
+    assert {r.k for r in filters.sample_of_size(frame, 7, "k", seed=1).collect()} != keys

@@ -104,3 +104,29 @@ def test_engagement_spec(spark, tmp_path):
     days = {(row.user_id, str(row.date)): row for row in written.collect()}
     assert days[(1, "2024-01-02")].days_since_signup == 32 and days[(3, "2024-01-01")].days_since_signup is None
     assert days[(2, "2024-01-01")].engagement_score == days[(2, "2024-01-01")].page_views + 2 * days[(2, "2024-01-01")].clicks
+
+
+def test_rows_of_every_source_are_counted_by_the_write(spark, spec, people, tmp_path, jobs):
+    people.withColumn("bonus", people.salary * 2).select("id", "bonus").write.parquet(f"{tmp_path}/bonus")
+    spark.range(4).write.parquet(f"{tmp_path}/idle")
+    schemas = {"people": "id bigint, name string, age bigint, salary bigint, date string", "bonus": "id bigint, bonus bigint", "idle": "id bigint"}
+    spec["sources"] = [{"name": n, "type": "parquet", "path": f"{tmp_path}/{n}", "schema": s} for n, s in schemas.items()]
+    text = "SELECT r.id, r.name, b.bonus FROM rich r JOIN bonus b USING (id) WHERE b.bonus > 130000"
+    spec["transformations"][1] = {"name": "cut", "type": "sql", "inputs": ["rich", "bonus"], "output": "cut", "sql": text}
+    assert "source_rows" not in run(spark, spec).metrics
+    spec["count_sources"] = True
+    plain = jobs(lambda: run(spark, {**spec, "count_sources": False}))
+    results = []
+    assert jobs(lambda: results.append(run(spark, spec))) == plain
+    assert results[0].metrics["source_rows"] == {"people": 5, "bonus": 5}
+    spec["transformations"] = []
+    assert run(spark, spec).metrics["source_rows"] == {"people": 5}
+
+
+def test_a_source_read_twice_is_counted_once(spark, spec):
+    text = "SELECT a.id, b.name FROM people a JOIN people b ON a.id = b.id"
+    spec["transformations"] = [{"name": "both", "type": "sql", "inputs": ["people"], "output": "both", "sql": text}]
+    spec["count_sources"] = True
+    result = run(spark, spec)
+    assert result.status == "success", result.error
+    assert result.metrics["source_rows"] == {"people": 5}

@@ -368,10 +368,13 @@ def test_clustering_splits_one_heavy_value(spark):
     assert sizes.agg(F.max("count")).first()[0] < 4_000
 
 
-def test_interleave(spark):
-    frame = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (3, 5)], ["a", "b"])
-    z = layout.interleave([F.col("a"), F.col("b")], 3)
-    assert [row[0] for row in frame.select(z).collect()] == [0, 1, 2, 0b100111]
+def test_ranges_of_written_files(spark, tmp_path):
+    frame = spark.range(5_000).select(F.pmod(F.xxhash64("id"), F.lit(700)).alias("k"))
+    layout.clustered(frame, ["k"], 8).write.parquet(str(tmp_path / "c"))
+    found = layout.overlaps(layout.file_ranges(spark.read.parquet(str(tmp_path / "c")), "k")).first()
+    assert (found.files, found.rows, found.overlapping) == (8, 5_000, 0)
+    frame.repartition(5).write.parquet(str(tmp_path / "r"))
+    assert layout.overlaps(layout.file_ranges(spark.read.parquet(str(tmp_path / "r")), "k")).first().overlapping == 4
 
 
 def test_report_methods():

@@ -170,3 +170,12 @@ def test_swap_restores_the_old_folder_on_failure(spark, people, tmp_path):
         storage.swap_in(spark, f"{tmp_path}/never_staged", f"{tmp_path}/kept")
     assert spark.read.parquet(f"{tmp_path}/kept").count() == 5
     assert [p.name for p in tmp_path.iterdir()] == ["kept"]
+
+
+def test_distinct_sketches_of_parts_merge(spark):
+    frame = spark.range(40_000).selectExpr("id % 5 AS part", "id % 9000 AS a", "if(id % 2 = 0, NULL, 'x') AS b", "id AS c")
+    sketches = inventory.distinct_sketches(frame, ["a", "b", "c"], [F.col("part")])
+    assert sketches.columns == ["part", "column_name", "sketch"] and sketches.count() == 15
+    found = {r.column_name: r.estimate for r in inventory.merged_estimates(sketches).collect()}
+    for name, exact in (("a", 9_000), ("b", 1), ("c", 40_000)):
+        assert abs(found[name] - exact) <= max(1, exact * inventory.ERROR)
