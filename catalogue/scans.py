@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.registry import query
@@ -454,6 +457,49 @@ def run_segment_spec(spark, folder):
     return found.withColumns({name: F.round(name, n) for name, n in digits.items()})
 
 
+def daily_spec(folder, target):
+    none = {"type": "parquet", "path": "made by a step"}
+    return made_spec(user_engagement.daily_spec(none, none, target), folder)
+
+
+@query(
+    "e2_run_daily_spec",
+    "SELECT * REPLACE (round(total_revenue, 2) AS total_revenue, "
+    "round(session_duration_minutes, 4) AS session_duration_minutes) FROM user_daily",
+    ["user_daily"],
+)
+def run_daily_spec(spark, folder):
+    spec = daily_spec(folder, storage.new_folder(spark, "target"))
+    outcome = runner.run(spark, spec)
+    assert outcome.status == "success", outcome.error
+    digits = {"total_revenue": 2, "session_duration_minutes": 4}
+    return spark.read.parquet(spec["target"]["path"]).withColumns({name: F.round(name, n) for name, n in digits.items()})
+
+
+@query(
+    "g2_run_all_specs",
+    """
+    SELECT 'user_daily' AS name, 'success' AS status, (SELECT count(*) FROM user_daily) AS rows
+    UNION ALL SELECT 'product_performance', 'success', (SELECT count(*) FROM product_performance)
+    UNION ALL SELECT 'segment_performance', 'success', (SELECT count(*) FROM segment_performance)
+    """,
+    ["user_daily", "product_performance", "segment_performance"],
+)
+def run_all_specs(spark, folder):
+    """The three specs, one after the other, and what became of each; rows are those its target holds."""
+    target = storage.new_folder(spark, "targets")
+    specs = {"user_daily": daily_spec(folder, f"{target}/daily"), **performance_specs(folder, target)}
+    outcomes, counts = runner.run_many(spark, list(specs.values()))
+    assert counts == {"total": 3, "succeeded": 3, "failed": 0}, [o.error for o in outcomes]
+    found = [
+        spark.read.parquet(spec["target"]["path"])
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(name).alias("name"), F.lit(outcome.status).alias("status"), "rows")
+        for (name, spec), outcome in zip(specs.items(), outcomes)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def adapter(output, function, inputs):
     function = f"sluiceway.entities.{function}"
     return {"name": output, "type": "python", "inputs": inputs, "output": output, "function": function}

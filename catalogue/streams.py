@@ -193,57 +193,6 @@ def stream_join(spark, folder):
     return stored.withColumns(times)
 
 
-DAILY_SQL = """
-    SELECT user_id, to_date(ts) AS date, count(1) AS total_events,
-           {kinds} AS unique_event_types,
-           count_if(event_type = 'view') AS page_views, count_if(event_type = 'click') AS clicks,
-           count_if(event_type = 'purchase') AS purchases,
-           sum(if(event_type = 'purchase', value, 0)) AS total_revenue,
-           min(ts) AS first_event_time, max(ts) AS last_event_time
-    FROM events GROUP BY user_id, to_date(ts)
-"""
-
-E6_STEPS = [
-    {
-        "name": "daily",
-        "type": "sql",
-        "inputs": ["events"],
-        "output": "daily_metrics",
-        "sql": DAILY_SQL.format(kinds="count(DISTINCT event_type)"),
-        "streaming_sql": DAILY_SQL.format(kinds="approx_count_distinct(event_type)"),
-    },
-    {
-        "name": "duration",
-        "type": "sql",
-        "inputs": ["daily_metrics"],
-        "output": "timed_metrics",
-        "sql": """
-            SELECT *, (unix_timestamp(last_event_time) - unix_timestamp(first_event_time)) / 60
-                      AS session_duration_minutes
-            FROM daily_metrics
-        """,
-    },
-    {
-        "name": "profile",
-        "type": "sql",
-        "inputs": ["timed_metrics", "user_profiles"],
-        "output": "enriched_metrics",
-        "sql": """
-            SELECT t.*, p.name, p.email, p.segment, p.country, p.signup_date,
-                   datediff(t.date, p.signup_date) AS days_since_signup
-            FROM timed_metrics t LEFT JOIN user_profiles p ON p.user_id = t.user_id
-        """,
-    },
-    {
-        "name": "score",
-        "type": "sql",
-        "inputs": ["enriched_metrics"],
-        "output": "final_metrics",
-        "sql": "SELECT *, page_views + 2 * clicks + 10 * purchases AS engagement_score FROM enriched_metrics",
-    },
-]
-
-
 @query(
     "e6_streaming_user_engagement",
     "SELECT * REPLACE (round(total_revenue, 2) AS total_revenue, "
@@ -260,7 +209,7 @@ def streaming_engagement(spark, folder):
     spec = {
         "pipeline": {"name": "streaming_user_engagement"},
         "sources": [in_files(spark, folder, "events", "ts"), *batch],
-        "transformations": [profiles, *E6_STEPS],
+        "transformations": [adapter("events", "as_user_events", ["events"]), profiles, *user_engagement.SQL_STEPS],
         "streaming": {
             "keys": ["user_id", "date"],
             "partition_by": ["date"],

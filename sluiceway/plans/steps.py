@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable, Mapping
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,7 @@ Action = Callable[[SparkSession, Frames], DataFrame]
 StepType = Callable[[dict], Action]
 
 _TYPES: dict[str, StepType] = {}
+_naming = RLock()
 
 
 def step_type(name: str) -> Callable[[StepType], StepType]:
@@ -179,8 +181,14 @@ def _is_view(spark: SparkSession, name: str) -> bool:
 def views(spark: SparkSession, frames: Frames):
     """Frames as temporary views for as long as a query is analyzed.
 
-    The views of the session that had these names come back, and no run sees those of another.
+    The views of the session that had these names come back, and no run sees those of another: names belong
+    to the session, so runs in other threads wait for the moment that the analysis takes.
     """
+    with _naming:
+        yield from _named(spark, frames)
+
+
+def _named(spark: SparkSession, frames: Frames):
     taken = {name: spark.table(name) for name in frames if _is_view(spark, name)}
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)

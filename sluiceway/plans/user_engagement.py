@@ -99,6 +99,68 @@ def by_segment_and_day(daily: DataFrame) -> DataFrame:
     )
 
 
+_DAILY = """
+    SELECT user_id, to_date(timestamp) AS date, count(1) AS total_events, {kinds} AS unique_event_types,
+           count_if(event_type = 'page_view') AS page_views, count_if(event_type = 'click') AS clicks,
+           count_if(event_type = 'purchase') AS purchases,
+           sum(if(event_type = 'purchase', revenue, 0)) AS total_revenue,
+           min(timestamp) AS first_event_time, max(timestamp) AS last_event_time
+    FROM events GROUP BY user_id, to_date(timestamp)
+"""
+
+#: The daily result of all users in SQL, over ``events`` and ``user_profiles``; also as streams.
+SQL_STEPS = [
+    {
+        "name": "daily",
+        "type": "sql",
+        "inputs": ["events"],
+        "output": "daily_metrics",
+        "sql": _DAILY.format(kinds="count(DISTINCT event_type)"),
+        "streaming_sql": _DAILY.format(kinds="approx_count_distinct(event_type)"),
+    },
+    {
+        "name": "duration",
+        "type": "sql",
+        "inputs": ["daily_metrics"],
+        "output": "timed_metrics",
+        "sql": """
+            SELECT *, (unix_timestamp(last_event_time) - unix_timestamp(first_event_time)) / 60
+                      AS session_duration_minutes
+            FROM daily_metrics
+        """,
+    },
+    {
+        "name": "profile",
+        "type": "sql",
+        "inputs": ["timed_metrics", "user_profiles"],
+        "output": "enriched_metrics",
+        "sql": """
+            SELECT t.*, p.name, p.email, p.segment, p.country, p.signup_date,
+                   datediff(t.date, p.signup_date) AS days_since_signup
+            FROM timed_metrics t LEFT JOIN user_profiles p ON p.user_id = t.user_id
+        """,
+    },
+    {
+        "name": "score",
+        "type": "sql",
+        "inputs": ["enriched_metrics"],
+        "output": "final_metrics",
+        "sql": "SELECT *, page_views + 2 * clicks + 10 * purchases AS engagement_score FROM enriched_metrics",
+    },
+]
+
+
+def daily_spec(events: dict, profiles: dict, target: str, name: str = "user_daily") -> dict:
+    """Spec of the daily result of all users in SQL, from two source dicts into a folder partitioned by day."""
+    return {
+        "pipeline": {"name": name, "description": "Daily metrics of all users with revenue and profile"},
+        "sources": [{**events, "name": "events"}, {**profiles, "name": "user_profiles"}],
+        "transformations": SQL_STEPS,
+        "validation": {"enabled": True, "fail_on_error": True, "rules": RULES},
+        "target": {"type": "parquet", "path": target, "mode": "overwrite", "partition_by": ["date"]},
+    }
+
+
 def spec(events: dict, profiles: dict, target: str, min_events: int = 3, name: str = "user_analytics") -> dict:
     """Spec that runs the plan from two source dicts into a folder partitioned by day."""
     here = "sluiceway.plans.user_engagement"

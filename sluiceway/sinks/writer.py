@@ -45,8 +45,6 @@ def check_target(target: dict) -> None:
         raise SinkError(f"unknown write mode {mode!r}, use one of {MODES}")
     if mode == "merge" and not target.get("merge_keys"):
         raise SinkError("merge needs merge_keys")
-    if target["type"] == "parquet" and is_table_name(target["path"]) and (target.get("optimize") or {}).get("enabled"):
-        raise SinkError("optimize needs a folder or a delta table, a catalog table of Parquet files has none")
 
 
 def gate(report: Report | None, fail_on_error: bool = True) -> None:
@@ -189,11 +187,9 @@ def _merge(df: DataFrame, target: dict) -> None:
     elif not (spark.catalog.tableExists(path) if named else storage.exists(spark, path)):
         _save(df, target, "append")
     elif target["type"] == "parquet":
-        # A Parquet table cannot be rewritten while it is read, so the merged rows are stored first.
-        stored = storage.new_folder(spark, "merged")
-        merge.upsert(spark.table(path), df, keys).write.parquet(stored)
-        _save(spark.read.parquet(stored), target, "overwrite")
-        storage.remove(spark, stored)
+        folder, columns = _table_folder(spark, path)
+        merge.merge_folder(df, folder, keys, columns)
+        _refresh(spark, path, columns)
     else:
         table = path if named else f"delta.`{path}`"
         same = " AND ".join(f"target.`{key}` = source.`{key}`" for key in keys)
@@ -204,6 +200,21 @@ def _merge(df: DataFrame, target: dict) -> None:
         )
 
 
+def _table_folder(spark, name: str) -> tuple[str, list[str]]:
+    """Where the files of a catalog table are, and the columns it is partitioned by."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    if described is None:
+        raise SinkError(f"{name} has no folder of its own")
+    return described["data_type"], [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _refresh(spark, name: str, columns: list[str]) -> None:
+    """Tells the catalog of files that were written into a table's folder."""
+    if columns:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def _optimize(df: DataFrame, target: dict) -> None:
     spark, path = df.sparkSession, target["path"]
     wanted = target.get("optimize") or {}
@@ -215,11 +226,9 @@ def _optimize(df: DataFrame, target: dict) -> None:
             spark.sql(f"OPTIMIZE {table}" + (f" ZORDER BY ({order})" if order else ""))
         if vacuum.get("enabled"):
             spark.sql(f"VACUUM {table} RETAIN {int(vacuum.get('retention_hours', 168))} HOURS")
-    elif wanted.get("enabled") and not is_table_name(path):
-        layout.compact(
-            spark,
-            path,
-            target.get("partition_by"),
-            wanted.get("zorder_by"),
-            int(wanted.get("file_bytes", layout.FILE_BYTES)),
-        )
+    elif wanted.get("enabled"):
+        named = is_table_name(path)
+        folder, columns = _table_folder(spark, path) if named else (path, target.get("partition_by"))
+        layout.compact(spark, folder, columns, wanted.get("zorder_by"), int(wanted.get("file_bytes", layout.FILE_BYTES)))
+        if named:
+            _refresh(spark, path, columns)

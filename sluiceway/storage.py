@@ -15,6 +15,7 @@ from sluiceway.errors import SluicewayError
 
 
 _own_folders: dict[str, str] = {}
+_stored: dict[str, list[str]] = {}
 
 #: Files that are renamed at a time.
 MOVERS = 16
@@ -50,13 +51,22 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back: computed once, cut off from its plan.
 
-    The files stay until whoever owns the folder removes them.
+    The files stay, as frames made of them may be read at any time, until ``remove_stored``.
     """
     folder = new_folder(df.sparkSession, "stored")
     df.write.parquet(folder)
+    _stored.setdefault(df.sparkSession.sparkContext.applicationId, []).append(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def remove_stored(spark: SparkSession) -> int:
+    """Removes what ``stored`` has written in this application, once no frame that reads it is needed; returns how many."""
+    folders = _stored.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        remove(spark, folder)
+    return len(folders)
+
+
 def sibling(path: str, label: str) -> str:
     """An unused hidden path next to ``path``, so that a later rename stays on one file system."""
     parent, _, name = path.rstrip("/").rpartition("/")

@@ -312,3 +312,11 @@ def test_sample_of_a_size(spark):
     assert small.count() == frame.where(F.col("k").isin(list(keys))).count()
     assert filters.sample_of_size(frame, 500, "k").count() == 2_970
     assert {r.k for r in filters.sample_of_size(frame, 7, "k", seed=1).collect()} != keys
+
+
+def test_stored_frames_are_removed(spark):
+    storage.remove_stored(spark)
+    frame = storage.stored(spark.range(3))
+    path = frame.inputFiles()[0].rpartition("/")[0]
+    assert storage.exists(spark, path)
+    assert storage.remove_stored(spark) == 1 and not storage.exists(spark, path) and storage.remove_stored(spark) == 0

@@ -357,9 +357,25 @@ def test_ranges_narrow_the_files(spark):
     assert spans[0] < 200 and spans[1] == 16 and spans[2] == 20_000 and spans[3] < 4_000
 
 
-def test_tables_of_parquet_are_not_optimized():
-    with pytest.raises(SinkError, match="optimize"):
-        writer.check_target({"type": "parquet", "path": "a.b.c", "optimize": {"enabled": True}})
+@pytest.mark.parametrize("partition_by", [[], ["date"]])
+def test_tables_of_parquet_are_merged_and_optimized(spark, people, partition_by):
+    name = "spark_catalog.default.people_optimized"
+    writer.drop(spark, name)
+    keys = ["id", "date"]
+    wanted = {"type": "parquet", "path": name, "mode": "overwrite", "partition_by": partition_by}
+    write(people.repartition(5), wanted)
+    newer = people.where("id > 3").withColumn("salary", F.lit(1).cast("bigint"))
+    newer = newer.unionByName(newer.limit(1).withColumn("date", F.lit("2024-01-01")))
+    write(newer, {**wanted, "mode": "merge", "merge_keys": keys})
+    assert spark.table(name).count() == 6 and spark.table(name).where("salary = 1").count() == 3
+    write(people, {**wanted, "mode": "append", "optimize": {"enabled": True, "zorder_by": ["age"]}})
+    assert spark.table(name).count() == 11
+    files_of_a_part = spark.table(name).inputFiles()
+    assert len(files_of_a_part) == (4 if partition_by else 1)
+    assert sorted(map(tuple, spark.table(name).where("salary > 1").select("id", "name", "date").collect())) == sorted(
+        [*map(tuple, people.select("id", "name", "date").collect()), *map(tuple, people.where("id < 4").select("id", "name", "date").collect())]
+    )
+    writer.drop(spark, name)
 
 
 def test_clustering_splits_one_heavy_value(spark):

@@ -186,3 +186,16 @@ def test_scores(spark):
 def test_customer_classes(spark, purchases, revenue, name):
     frame = spark.createDataFrame([(purchases, revenue)], ["purchases", "revenue"])
     assert frame.select(columns.customer_class()).first()[0] == name
+
+
+def test_runs_in_threads_see_their_own_names(spark):
+    """Each thread names its frame alike and must get its own."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def counted(n):
+        step = {"name": "s", "type": "sql", "inputs": ["t"], "output": "o", "sql": "SELECT count(*) AS n FROM t"}
+        return [apply_step(spark, {"t": spark.range(n)}, step).first()["n"] for _ in range(5)]
+
+    with ThreadPoolExecutor(6) as threads:
+        assert list(threads.map(counted, range(6))) == [[n] * 5 for n in range(6)]
+    assert not spark.catalog.tableExists("t")
