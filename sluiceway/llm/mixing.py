@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.scratch import Scratch
+from sluiceway.llm.scratch import Scratch, with_extras_aside
 
 SPACE = "\\x20\\x09-\\x0D"
 WEIGHTS = (5, 2, 1)
@@ -107,9 +107,13 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def copies(docs: DataFrame) -> DataFrame:
-    """Each document as often as the mix takes it, with its own columns."""
+    """Each document as often as the mix takes it, with its own columns, whatever these are called."""
+    return with_extras_aside(docs, _copies)
+
+
+def _copies(docs: DataFrame) -> DataFrame:
     taken = mixed(docs).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
 
 
 #: The same rows in SQL: one window over a source in place of three steps.

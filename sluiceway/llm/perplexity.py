@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.scratch import Scratch
+from sluiceway.llm.scratch import Scratch, with_extras_aside
 
 ORDER = 4
 UNIT = 16
@@ -184,6 +184,10 @@ _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 _KIND = "struct<" + ",".join(f"{name}:{'double' if name == 'log_loss' else 'bigint'}" for name in _COLUMNS) + ">"
 
 
+#: A model without n-grams, for a language that was not there when they were counted.
+_UNKNOWN = (np.zeros(1, np.int64), np.full(1, np.log(0.5)))
+
+
 def _measured(frame: pd.DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
     frame = frame.reset_index(drop=True)
     parts = []
@@ -193,10 +197,12 @@ def _measured(frame: pd.DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray
         numbers, sizes = ngrams(texts)
         loss = np.zeros(len(texts))
         if len(numbers) and model:
-            known, logp = model[piece["lang"].iloc[0]]
+            known, logp = model.get(piece["lang"].iloc[0], _UNKNOWN)
             some = np.flatnonzero(sizes)
             starts = np.r_[0, np.cumsum(sizes[some])[:-1]]
-            loss[some] = -np.add.reduceat(logp[np.searchsorted(known, numbers)], starts)
+            at = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
+            found = np.where(known[at] == numbers, logp[at], logp.min())
+            loss[some] = -np.add.reduceat(found, starts)
         parts.append(part.assign(n_ngrams=sizes, log_loss=loss))
     return pd.concat(parts).sort_index() if parts else pd.DataFrame(columns=_COLUMNS)
 
@@ -221,6 +227,8 @@ def measured(docs: DataFrame, scratch: Scratch, most_sent: int = MOST_SENT) -> D
 
     A model of up to ``most_sent`` n-grams goes to the executors as arrays. For a larger one the
     n-grams of each document are counted, joined with the model and summed up, with the same result.
+    The frame is read twice; where it gives other rows the second time, as after a limit, an n-gram that was
+    not counted is taken for the rarest of its language.
     """
     model = scratch.keep(kneser_ney(counted(docs), scratch), "model")
     if model.count() <= most_sent:
@@ -235,7 +243,10 @@ def measured(docs: DataFrame, scratch: Scratch, most_sent: int = MOST_SENT) -> D
                 yield pd.DataFrame({"_row": row, "lang": lang, "ngram": known, "often": often})
 
     found = rows.select("_row", _lang(), _text()).mapInPandas(own, "_row bigint, lang string, ngram bigint, often bigint")
-    losses = found.join(model, ["lang", "ngram"]).groupBy("_row").agg((-F.sum(F.col("often") * F.col("logp"))).alias("_loss"))
+    least = scratch.keep(model.groupBy("lang").agg(F.min("logp").alias("least")), "least")
+    found = found.join(model, ["lang", "ngram"], "left").join(least, "lang", "left")
+    logp = F.coalesce("logp", "least", F.lit(float(_UNKNOWN[1][0])))
+    losses = found.groupBy("_row").agg((-F.sum(F.col("often") * logp)).alias("_loss"))
     filled = F.col("_m").withField("log_loss", F.coalesce("_loss", F.lit(0.0)))
     return rows.join(losses, "_row", "left").withColumn("_m", filled).drop("_row", "_loss")
 
@@ -267,5 +278,5 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def passed(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    return judged(docs).where("_m.kept").drop("_m")
+    """The documents that are kept, with their own columns, whatever these are called."""
+    return with_extras_aside(docs, lambda rows: judged(rows).where("_m.kept"))

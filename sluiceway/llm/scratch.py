@@ -7,7 +7,10 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import sluiceway
 from sluiceway import storage
@@ -32,6 +35,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Columns of documents, the ones that operators work on.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def with_extras_aside(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` makes of the documents, with the columns of ``docs``.
+
+    Columns that documents do not have are one struct meanwhile, so whatever they are called, no column
+    that an operator makes has their name. Without such columns nothing is moved.
+    """
+    extra = [c for c in docs.columns if c not in DOCUMENT]
+    if not extra:
+        return work(docs).select(*docs.columns)
+    own = [c for c in docs.columns if c in DOCUMENT]
+    found = work(docs.select(*own, F.struct(*[_named(c) for c in extra]).alias("_extra")))
+    return found.select(*[F.col("_extra").getField(c).alias(c) if c in extra else F.col(c) for c in docs.columns])
+
+
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def task_count(spark: SparkSession) -> int:
     """Partitions a shuffle of the session has before adaptive execution joins small ones."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

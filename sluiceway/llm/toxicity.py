@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.llm.scratch import with_extras_aside
+
 #: Most labelled documents of either label that the terms and the classifier are fitted on.
 FIT_ROWS = 6_000
 #: Most terms looked at when the lexicon is chosen, and letters of the shortest beginning of a word.
@@ -337,5 +339,5 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents below the threshold, with their own columns."""
-    return scored(docs, labels).where(F.col("_score") < THRESHOLD).drop("_score")
+    """The documents below the threshold, with their own columns, whatever these are called."""
+    return with_extras_aside(docs, lambda rows: scored(rows, labels).where(F.col("_score") < THRESHOLD))
