@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose codes a Python worker keeps; beyond that it forgets all and starts anew.
-WORDS_KEPT = 60_000
+WORDS_KEPT = 130_000
 #: Longer pieces are encoded each time, so that the words kept have a bounded size.
 LONGEST_KEPT = 64
 #: Characters of texts whose words are encoded together.
