@@ -37,7 +37,7 @@ class Split:
         self.schema: T.StructType | None = None
 
     def start(self, stream: DataFrame, continuous: bool = False, interval: str = "30 seconds") -> StreamingQuery:
-        """Starts parting a stream; ``due()`` and the side table can be read from then on."""
+        """Starts parting a stream; ``accepted`` and the side table can be read from then on."""
         self.schema = stream.schema
         storage.make_folder(self.spark, self.rows)
         writer = stream.writeStream.option("checkpointLocation", f"{self.folder}/checkpoint").foreachBatch(self._take)
