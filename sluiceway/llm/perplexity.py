@@ -3,12 +3,15 @@
 The n-grams are runs of four UTF-16 units, upper and lower case apart, so one 64-bit number names an
 n-gram without collisions and holds its prefix and suffix in its bits. Spark counts them over all
 documents and derives the lower orders and discounts. The model is a pair of arrays for each
-language, n-gram numbers in order and their log probabilities. Every n-gram of the documents is in
-it, as it was counted on them.
+language, n-gram numbers in order and their log probabilities.
+
+No text vouches for itself: n-grams that only one text of a language and its copies hold, told by the
+least and the greatest digest of the texts that hold them, score as if they had not been counted.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,8 +29,10 @@ PIECE = 1_000_000
 GATHERED = 2_000_000
 #: Most n-grams (16 bytes each) that are sent to every executor; a larger model is joined instead.
 MOST_SENT = 12_000_000
-#: Bands around the middle log perplexity of a language, as multiples of it.
-LOWER, UPPER = 0.75, 1.6
+#: Bands around the middle log perplexity of a language, in spreads. A spread is the distance from the lower
+#: quarter to the middle, on which bad texts have no bearing, and this share of the middle at least.
+LOWER, UPPER = 8.0, 16.0
+LEAST_SPREAD = 0.06
 FEWEST_WORDS = 50
 MOST_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
@@ -58,34 +63,38 @@ def _pieces(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
             yield piece
 
 
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Numbers in order, each once, with their counts summed and the least and greatest digest of their texts."""
+    numbers, weights, low, high = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(numbers)
+    numbers = numbers[order]
+    first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
+    return numbers[first], np.add.reduceat(weights[order], first), np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+
+
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    gathered: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    gathered: dict[str, list[tuple[np.ndarray, ...]]] = {}
     held = 0
 
-    def joined(parts):
-        numbers, weights = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(numbers)
-        numbers, weights = numbers[order], weights[order]
-        first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
-        return numbers[first], np.add.reduceat(weights, first)
-
     def rows():
         for lang, parts in gathered.items():
-            numbers, weights = joined(parts)
-            for at in range(0, len(numbers), 100_000):
-                some = slice(at, at + 100_000)
-                yield pd.DataFrame({"lang": lang, "ngram": numbers[some], "n": weights[some]})
+            found = _summed(parts)
+            for at in range(0, len(found[0]), 100_000):
+                yield pd.DataFrame({"lang": lang, **{name: column[at : at + 100_000] for name, column in zip(("ngram", "n", "low", "high"), found)}})
 
     for frame in frames:
         for piece in _pieces(frame):
-            numbers, _ = ngrams(piece["text"].tolist())
+            texts = piece["text"].tolist()
+            numbers, sizes = ngrams(texts)
             if not len(numbers):
                 continue
+            digests = [zlib.crc32(text.encode("utf-8", "surrogatepass")) for text in texts]
+            digests = np.repeat(np.array(digests, np.uint32).view(np.int32), sizes)
             parts = gathered.setdefault(piece["lang"].iloc[0], [])
-            parts.append(np.unique(numbers, return_counts=True))
+            parts.append(_summed([(numbers, np.ones(len(numbers), np.int64), digests, digests)]))
             held += len(parts[-1][0])
             if held > GATHERED:
-                gathered = {lang: [joined(parts)] for lang, parts in gathered.items()}
+                gathered = {lang: [_summed(parts)] for lang, parts in gathered.items()}
                 held = sum(len(parts[0][0]) for parts in gathered.values())
                 if held > GATHERED // 2:
                     yield from rows()
@@ -103,31 +112,37 @@ def _lang() -> Column:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``lang, ngram, n``: how often each n-gram occurs, gathered in the tasks before the shuffle."""
-    found = docs.select(_text(), _lang()).mapInPandas(_count, "lang string, ngram bigint, n bigint")
-    return found.groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
+    """``lang, ngram, n, low, high``: how often each n-gram occurs, and the least and greatest digest of the
+    texts that hold it; gathered in the tasks before the shuffle."""
+    found = docs.select(_text(), _lang()).mapInPandas(_count, "lang string, ngram bigint, n bigint, low int, high int")
+    return found.groupBy("lang", "ngram").agg(F.sum("n").alias("n"), *_digests())
+
+
+def _digests() -> list[Column]:
+    return [F.min("low").alias("low"), F.max("high").alias("high")]
 
 
 def kneser_ney(counts: DataFrame, scratch: Scratch) -> DataFrame:
-    """``lang, ngram, logp``: natural log of the interpolated modified Kneser-Ney probability.
+    """``lang, ngram, p, logp``: the interpolated modified Kneser-Ney probability, and the natural log for scoring.
 
     Below the highest order, a count is the number of different units that precede an n-gram.
     Discounts come from the counts of counts of each order and language; where those are too few,
-    they are 0.5, 1 and 1.5.
+    they are 0.5, 1 and 1.5. The score of an n-gram that only one text holds leaves its count out: what the
+    context spares for new units goes to the shorter n-gram, and all of it if that text alone has the context.
     """
     orders = {ORDER: scratch.keep(counts, f"count{ORDER}")}
     for order in range(ORDER - 1, 0, -1):
         shorter = F.col("ngram").bitwiseAND(F.lit((1 << (UNIT * order)) - 1))
-        fewer = orders[order + 1].groupBy("lang", shorter.alias("ngram")).agg(F.count("*").alias("n"))
+        fewer = orders[order + 1].groupBy("lang", shorter.alias("ngram")).agg(F.count("*").alias("n"), *_digests())
         orders[order] = scratch.keep(fewer, f"count{order}")
     units = orders[1].groupBy("lang").agg(F.count("*").alias("units"))
-    below = scratch.keep(units.select("lang", F.lit(0).cast("bigint").alias("ngram"), (1 / F.col("units")).alias("p")), "p0")
+    even = (1 / F.col("units")).alias("p")
+    below = scratch.keep(units.select("lang", F.lit(0).cast("bigint").alias("ngram"), even, even.alias("left_out")), "p0")
     for order in range(1, ORDER + 1):
         below = scratch.keep(_order(orders[order], below, order, scratch), f"p{order}")
-    for order in range(ORDER):
-        scratch.drop(f"p{order}")
-        scratch.drop(f"count{order + 1}")
-    return below.select("lang", "ngram", F.log("p").alias("logp"))
+        scratch.drop(f"p{order - 1}")
+        scratch.drop(f"count{order}")
+    return below.select("lang", "ngram", "p", F.log("left_out").alias("logp"))
 
 
 def _order(counts: DataFrame, below: DataFrame, order: int, scratch: Scratch) -> DataFrame:
@@ -148,14 +163,17 @@ def _order(counts: DataFrame, below: DataFrame, order: int, scratch: Scratch) ->
     discounts = scratch.keep(discounts, "discounts")
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = counts.join(discounts, "lang").select(
-        "lang", "ngram", "n", discount.alias("d"), F.shiftrightunsigned("ngram", UNIT).alias("prefix"),
+        "lang", "ngram", "n", "low", "high", discount.alias("d"), F.shiftrightunsigned("ngram", UNIT).alias("prefix"),
         F.col("ngram").bitwiseAND(F.lit((1 << (UNIT * (order - 1))) - 1)).alias("suffix"),
     )
-    contexts = rows.groupBy("lang", "prefix").agg(F.sum("n").alias("total"), F.sum("d").alias("left"))
-    lower = below.select("lang", F.col("ngram").alias("suffix"), F.col("p").alias("below"))
-    return rows.join(contexts, ["lang", "prefix"]).join(lower, ["lang", "suffix"]).select(
-        "lang", "ngram", ((F.col("n") - F.col("d") + F.col("left") * F.col("below")) / F.col("total")).alias("p")
+    contexts = rows.groupBy("lang", "prefix").agg(
+        F.sum("n").alias("total"), F.sum("d").alias("left"), (F.min("low") == F.max("high")).alias("single")
     )
+    lower = below.select("lang", F.col("ngram").alias("suffix"), F.col("p").alias("below"), F.col("left_out").alias("below_out"))
+    p = (F.col("n") - F.col("d") + F.col("left") * F.col("below")) / F.col("total")
+    spared = F.when(F.col("single"), F.col("below_out")).otherwise(F.col("left") * F.col("below_out") / F.col("total"))
+    left_out = F.when(F.col("low") == F.col("high"), spared).otherwise(p)
+    return rows.join(contexts, ["lang", "prefix"]).join(lower, ["lang", "suffix"]).select("lang", "ngram", p.alias("p"), left_out.alias("left_out"))
 
 
 def _base(text: str) -> tuple[int, int, int, int, int]:
@@ -230,7 +248,8 @@ def measured(docs: DataFrame, scratch: Scratch, most_sent: int = MOST_SENT) -> D
     The frame is read twice; where it gives other rows the second time, as after a limit, an n-gram that was
     not counted is taken for the rarest of its language.
     """
-    model = scratch.keep(kneser_ney(counted(docs), scratch), "model")
+    model = scratch.keep(kneser_ney(counted(docs), scratch).select("lang", "ngram", "logp"), "model")
+    scratch.drop(f"p{ORDER}")
     if model.count() <= most_sent:
         return _with_measures(docs, docs.sparkSession.sparkContext.broadcast(_arrays(model)))
     rows = scratch.keep(_with_measures(docs, None).withColumn("_row", F.monotonically_increasing_id()), "rows")
@@ -254,20 +273,26 @@ def measured(docs: DataFrame, scratch: Scratch, most_sent: int = MOST_SENT) -> D
 def judged(docs: DataFrame, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
     """The documents with a struct ``_m``: base counts, ``base_failed``, ``log_perplexity`` and ``kept``.
 
-    A document is kept if the base counts pass and its log perplexity lies within ``lower`` and
-    ``upper`` times the middle one of its language. Null texts are empty and fail; a null language
-    is one of its own; repeated rows count and are judged each; texts shorter than an n-gram have no
-    perplexity and are judged by the base counts. An empty table gives no rows. All columns are kept.
+    A document is kept if the base counts pass and its log perplexity is at most ``lower`` spreads below
+    and ``upper`` above the middle one of its language, both taken among documents that pass the base counts. Null texts are empty and fail; a null language is one of its own;
+    repeated rows are judged each, and copies do not make their own n-grams likely; texts shorter than an
+    n-gram have no perplexity and are judged by the base counts. Very long texts are read whole. If a
+    language has one text only, nothing else vouches for it and it is its own middle. An empty table
+    gives no rows. All columns are kept.
     """
     scratch = Scratch(docs.sparkSession, "perplexity")
     rows = scratch.keep(measured(docs, scratch), "measured")
     per = F.when(F.col("_m.n_ngrams") > 0, F.col("_m.log_loss") / F.col("_m.n_ngrams"))
     failed = (F.col("_m.n_words") < FEWEST_WORDS) | (100 * F.col("_m.n_repeat_words") > MOST_REPEATED * F.col("_m.n_words"))
-    middle = rows.groupBy(_lang().alias("_lang")).agg(F.percentile_approx(per, 0.5, 10_000).alias("_middle"))
-    middle = scratch.keep(middle, "bands")
-    inside = F.coalesce(per.between(lower * F.col("_middle"), upper * F.col("_middle")), F.lit(True))
+    fair = rows.where(~failed).select(_lang().alias("_lang"), per.alias("_per"))
+    quarters = fair.groupBy("_lang").agg(F.percentile_approx("_per", [0.25, 0.5], 10_000).alias("_at"))
+    middle = F.col("_at")[1]
+    bands = quarters.select("_lang", middle.alias("_middle"), F.greatest(middle - F.col("_at")[0], LEAST_SPREAD * middle).alias("_spread"))
+    bands = scratch.keep(bands, "bands")
+    off = (per - F.col("_middle")) / F.col("_spread")
+    inside = F.coalesce(off.between(-lower, upper), F.lit(True))
     verdict = F.col("_m").withField("log_perplexity", per).withField("base_failed", failed).withField("kept", ~failed & inside)
-    joined = rows.withColumn("_lang", _lang()).join(middle, "_lang", "left")
+    joined = rows.withColumn("_lang", _lang()).join(bands, "_lang", "left")
     return joined.withColumn("_m", verdict).select(*docs.columns, "_m")
 
 

@@ -15,12 +15,22 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def brute_losses(texts):
-    """Log loss of each text under modified Kneser-Ney of order 4, straight from the formulas."""
+    """Log loss of each text under modified Kneser-Ney of order 4, straight from the formulas.
+
+    An n-gram that one distinct text holds alone scores by what remains when that text is not counted.
+    """
     grams = [[t[i : i + 4] for i in range(len(t) - 3)] for t in texts]
-    counts = {4: Counter(g for gs in grams for g in gs)}
+    counts, holders = {4: Counter(g for gs in grams for g in gs)}, {4: defaultdict(set)}
+    for t, gs in zip(texts, grams):
+        for g in gs:
+            holders[4][g].add(t)
     for n in (3, 2, 1):
         counts[n] = Counter(g[1:] for g in counts[n + 1])
+        holders[n] = defaultdict(set)
+        for g, held in holders[n + 1].items():
+            holders[n][g[1:]] |= held
     p = {"": 1 / len(counts[1])}
+    q = dict(p)
     for n in (1, 2, 3, 4):
         of = Counter(counts[n].values())
         d = {}
@@ -30,12 +40,15 @@ def brute_losses(texts):
                 d[k] = min(k - 0.05, max(0.05, k - (k + 1) * y * of[k + 1] / of[k]))
             else:
                 d[k] = k / 2
-        total, left = defaultdict(int), defaultdict(float)
+        total, left, around = defaultdict(int), defaultdict(float), defaultdict(set)
         for g, c in counts[n].items():
             total[g[:-1]] += c
             left[g[:-1]] += d[min(c, 3)]
-        p = {g: (c - d[min(c, 3)] + left[g[:-1]] * p[g[1:]]) / total[g[:-1]] for g, c in counts[n].items()}
-    return [-sum(math.log(p[g]) for g in gs) for gs in grams]
+            around[g[:-1]] |= holders[n][g]
+        above = {g: (c - d[min(c, 3)] + left[g[:-1]] * p[g[1:]]) / total[g[:-1]] for g, c in counts[n].items()}
+        spared = {g: q[g[1:]] * (1 if len(around[g[:-1]]) == 1 else left[g[:-1]] / total[g[:-1]]) for g in counts[n]}
+        p, q = above, {g: spared[g] if len(holders[n][g]) == 1 else above[g] for g in above}
+    return [-sum(math.log(q[g]) for g in gs) for gs in grams]
 
 
 def some_texts(n, seed=0):
@@ -44,9 +57,9 @@ def some_texts(n, seed=0):
 
 
 def test_kneser_ney_and_both_ways_of_scoring(spark, documents):
-    texts = some_texts(30) + ["", "a", "abc", "😀😀", None]
+    texts = some_texts(30) + ["", "a", "abc", "zebra xylophone zebra", "zebra xylophone zebra", "😀😀", None]
     docs = documents(list(enumerate(texts)))
-    wanted = brute_losses([t for t in texts[:30]] + ["", "a", "abc"])
+    wanted = brute_losses(texts[:-2])
     for most_sent in (10**6, 0):
         rows = perplexity.measured(docs, Scratch(spark, "test"), most_sent).collect()
         got = {r.doc_id: r._m for r in rows}
@@ -75,6 +88,29 @@ def test_base_counts_and_bands(spark, documents):
     assert perplexity.passed(documents([(1, line)], lang=None)).columns == docs.columns
 
 
+def test_gibberish_goes_and_documents_stay(spark):
+    """Random letters, letters out of order and copies of either, planted into the documents of four languages."""
+    rng = random.Random(1)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    known = defaultdict(list)
+    for row in docs.collect():
+        known[row.lang] += (row.text or "").split()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    planted = []
+    for k in range(40):
+        lang = ("en", "de", "fr", "es")[k % 4]
+        random_letters = ["".join(rng.choices(letters, k=rng.randrange(2, 11))) for _ in range(200)]
+        shuffled = ["".join(rng.sample(w, len(w))) for w in rng.choices(known[lang], k=200)]
+        planted += [(10_000 + k, " ".join(random_letters), lang), (20_000 + k, " ".join(shuffled), lang)]
+    copied = [(30_000 + k, *planted[k % 8][1:]) for k in range(40)]
+    both = docs.unionByName(spark.createDataFrame(planted + copied, docs.schema))
+    found = perplexity.verdicts(both).collect()
+    gibberish = [r.kept for r in found if r.doc_id >= 10_000]
+    clean = [r.kept for r in found if r.doc_id < 10_000 and not r.base_failed]
+    assert len(gibberish) == 120 and sum(gibberish) <= 0.1 * len(gibberish)
+    assert len(clean) > 800 and sum(clean) >= 0.99 * len(clean)
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
