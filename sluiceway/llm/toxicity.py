@@ -20,8 +20,7 @@ from sluiceway.llm.scratch import with_extras_aside
 
 #: Most labelled documents of either label that the terms and the classifier are fitted on.
 FIT_ROWS = 6_000
-#: Most terms looked at when the lexicon is chosen, and letters of the shortest beginning of a word.
-CANDIDATES = 3_000
+#: Letters of the shortest and the longest beginning of a word.
 SHORTEST, LONGEST = 4, 8
 #: A term occurs in this share of the toxic sample at least, and this many times as often as in the clean one.
 LEAST_SHARE, LEAST_RATIO = 0.005, 15.0
@@ -33,9 +32,10 @@ EDITABLE = 5
 NEAR = 0.7
 #: A form this often in words of clean rows of the sample is no misspelling, unless it marks toxic ones as a term does.
 ORDINARY = 2
-#: Words looked at on either side of a hit, and what a quoted hit counts.
+#: Words looked at on either side of a hit, what a quoted hit counts, and what all of a text's count together at
+#: most, so that a report of many terms says no more than one term outright.
 WINDOW = 6
-QUOTED = 0.3
+QUOTED, MOST_QUOTED = 0.3, 1.0
 THRESHOLD = 0.3
 #: States kept of the automaton, and words known to hold no term, before a worker starts anew.
 MOST_STATES, WORDS_KEPT = 50_000, 100_000
@@ -180,18 +180,19 @@ def features(text: str | None, lexicon: Lexicon) -> tuple[float, float, float]:
         return 0.0, 0.0, 0.0
     spans = [(m.group(), m.start()) for m in WORD.finditer(text)]
     marks = np.array([m.start() for m in re.finditer(f"[{MARKS}]", text)], np.int64)
-    exact = near = quoted = 0.0
+    outright, cited = [0.0, 0.0], [0.0, 0.0]
     for k, (word, start) in enumerate(spans):
         if how := found.get(word):
             first = spans[max(0, k - WINDOW)][1]
             last, tail = spans[min(len(spans) - 1, k + WINDOW)]
             before = np.searchsorted(marks, start) - np.searchsorted(marks, first)
             after = np.searchsorted(marks, last and tail + len(last)) - np.searchsorted(marks, start)
-            cited = (before > 0 and after > 0) or any(other in REPORTING for other, _ in spans[max(0, k - WINDOW) : k])
-            exact += (how == 2) * (QUOTED if cited else 1.0)
-            near += (how == 1) * (QUOTED if cited else 1.0)
-            quoted += cited
-    return math.log1p(exact), math.log1p(near), math.log1p(quoted)
+            quotes = (before > 0 and after > 0) or any(other in REPORTING for other, _ in spans[max(0, k - WINDOW) : k])
+            (cited if quotes else outright)[how == 1] += 1.0
+    # Exact quoted terms take their part of what quoted ones may count first.
+    exact = min(QUOTED * cited[0], MOST_QUOTED)
+    near = min(QUOTED * cited[1], MOST_QUOTED - exact)
+    return math.log1p(outright[0] + exact), math.log1p(outright[1] + near), math.log1p(sum(cited))
 
 
 def weighed(found: list[tuple[float, float, float]]) -> np.ndarray:
@@ -236,15 +237,21 @@ def learned_terms(rows: DataFrame, n_clean: int, n_toxic: int) -> list[tuple[str
     evidence += F.when(F.col("m") > 0, F.col("m") * F.log(F.col("m") / (both * (1 - toxic_share)))).otherwise(0)
     counts = counts.where((F.col("n") > 0) & (evidence >= LEAST_EVIDENCE))
     counts = counts.where((F.col("n") >= max(3, LEAST_SHARE * n_toxic)) & (ratio >= LEAST_RATIO) & (F.char_length("term") >= 3))
-    best = counts.orderBy(F.desc("n"), F.desc(ratio), "term", "whole").limit(CANDIDATES).collect()
+    # All terms that pass; the sample bounds them, as each is in several of its rows.
+    best = counts.select("term", "whole", "n").collect()
     words = {r.term: r.n for r in best if r.whole}
     begins = {r.term: r.n for r in best if not r.whole}
+    longest: dict[str, int] = {}
+    for term, n in {**begins, **words}.items():
+        for size in range(SHORTEST, min(len(term), LONGEST + 1)):
+            longest[term[:size]] = max(longest.get(term[:size], 0), n)
     chosen: list[tuple[str, bool]] = []
+    begun: set[str] = set()
     for term in sorted({*words, *begins}, key=lambda t: (len(t), t)):
-        if any(not whole and term.startswith(other) for other, whole in chosen):
+        if any(term[:size] in begun for size in range(SHORTEST, LONGEST + 1)):
             continue
-        longer = max((n for other, n in {**begins, **words}.items() if len(other) > len(term) and other.startswith(term)), default=0)
-        if term in begins and longer < 0.9 * begins[term] and words.get(term, 0) < 0.9 * begins[term]:
+        if term in begins and longest.get(term, 0) < 0.9 * begins[term] and words.get(term, 0) < 0.9 * begins[term]:
+            begun.add(term)
             chosen.append((term, False))
         elif term in words:
             chosen.append((term, True))
@@ -313,7 +320,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with ``_score``, 0 to 1.
 
     Only labels of rows that are not held out are learned from, and only the text makes a score. Null
-    texts are empty, and an empty text scores as one without a term. Equal texts score alike; an empty
+    texts are empty, and an empty text scores as one without a term; very long texts are read whole. Quoted
+    terms alone, however many, score at most as one outright. Equal texts score alike; an empty
     table gives no rows; labels without a document, of null id or other than 0 and 1 are left out.
     All columns are kept.
     """

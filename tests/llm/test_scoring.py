@@ -171,6 +171,17 @@ def test_context_and_scores(spark, documents):
     assert toxicity.predictions(documents([]), labels).count() == 0
 
 
+def test_quoted_terms_count_one_at_most():
+    lexicon = toxicity.Lexicon([("idiot", True), ("moron", True), ("scumbag", True)])
+    one = toxicity.weighed([toxicity.features("you idiot", lexicon)])[0, 0]
+    report = 'he wrote "idiot" and "moron" there, and they called us "scumbag" or "scumbog" for long. '
+    for times in (1, 5, 2_000):
+        assert 0 < toxicity.weighed([toxicity.features(report * times, lexicon)])[0, 0] <= one
+    # What is said outright beside a quotation counts in full.
+    mixed = report + "w " * 20 + "you idiot you moron " + "w " * 20 + report
+    assert toxicity.weighed([toxicity.features(mixed, lexicon)])[0, 0] > one
+
+
 def test_token_spans(spark, documents):
     encoding = tiktoken.Encoding(
         "t", pat_str=public_tokenizers.PATTERN, special_tokens={},
