@@ -6,7 +6,7 @@ that follows works on distinct fingerprints, so a text with very many copies is
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
 
@@ -49,10 +49,18 @@ def fingerprint_of(text: str | None) -> int:
     for start in range(0, total, PIECE):
         part = words[start : start + PIECE + width - 1]
         shingles = map(b" ".join, zip(*[part[k:] for k in range(width)]))
-        hashes = np.fromiter(map(hashed, shingles), dtype="<u8")
-        votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * votes > total, bitorder="little")
-    return int(bits.view("<u8")[0])
+        votes += votes_of(np.fromiter(map(hashed, shingles), dtype="<u8"))
+    return majority(votes, total)
+
+
+def votes_of(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of their 64 bits set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(votes: np.ndarray, total: int) -> int:
+    """The fingerprint: a bit is set if more than half of the hashes have it."""
+    return int(np.packbits(2 * votes > total, bitorder="little").view("<u8")[0])
 
 
 def with_fingerprint(docs: DataFrame, column: str = "fp") -> DataFrame:
@@ -108,11 +116,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def groups(rows: DataFrame, scratch: Scratch, find: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """``doc_id, fp, group, component_id`` for rows of ``doc_id, fp``; ``find`` links fingerprints otherwise than by bits."""
+def groups(rows: DataFrame, scratch: Scratch, further: DataFrame | None = None) -> DataFrame:
+    """``doc_id, fp, group, component_id`` for rows of ``doc_id, fp``; ``further`` has links ``a, b`` beside those by bits."""
     distinct = scratch.keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    found = find(distinct.select("fp")) if find else links(distinct.select("fp"), scratch)
-    parts = connected(found, scratch)
+    found = links(distinct.select("fp"), scratch)
+    parts = connected(found if further is None else found.unionByName(further), scratch)
     parts = scratch.keep(parts.select(F.col("node").alias("fp"), F.col("component").alias("group")), "groups")
     labelled = distinct.join(parts, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
     labelled = scratch.keep(labelled, "labelled")
@@ -150,9 +158,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return first_of_groups(scratch.keep(with_fingerprint(docs, "_fp"), "rows"), docs.columns, scratch)
 
 
-def first_of_groups(rows: DataFrame, columns: list[str], scratch: Scratch, find: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """``columns`` of the row that stays of each group, from rows that have ``_fp`` too."""
-    found = groups(rows.select("doc_id", F.col("_fp").alias("fp")), scratch, find)
+def first_of_groups(rows: DataFrame, columns: list[str], scratch: Scratch, further: DataFrame | None = None) -> DataFrame:
+    """``columns`` of the row that stays of each group, from rows that have ``_fp`` too; ``further`` as in ``groups``."""
+    found = groups(rows.select("doc_id", F.col("_fp").alias("fp")), scratch, further)
     stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = stays.groupBy("group", F.col("component_id").alias("_first")).agg(F.min("fp").alias("_least")).drop("group")
     stays = scratch.keep(stays, "stays")
