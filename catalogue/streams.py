@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from catalogue.registry import query
@@ -15,8 +17,8 @@ from sluiceway.streaming import engagement, late, runner, sinks
 from sluiceway.streaming.snapshots import Snapshots
 
 SECONDS = None
-#: Files that a table is dealt over, each a micro-batch of its own.
-FILES = 6
+#: Micro-batches that a table is dealt over, and rows of a file; a batch has one file until it has more rows than that.
+BATCHES, FILE_ROWS = 6, 1_000_000
 
 
 def stream(spark, folder, name):
@@ -24,17 +26,23 @@ def stream(spark, folder, name):
 
 
 def in_files(spark, folder, name, time):
-    """Source of a table whose days come in several files, every day whole in one but in no order; one file a trigger."""
+    """Source of a table whose days come in files of no order, as many a trigger as make it ``BATCHES`` triggers.
+
+    Days are dealt over batches, each whole in one file or, above ``FILE_ROWS`` rows a batch, over its several files
+    by a hash of the row. One task writes one file, without a sort, so no task grows with the table.
+    """
     rows = e.table(spark, folder, name)
-    placed = rows.withColumn("_place", F.pmod(F.xxhash64(F.to_date(time)), F.lit(FILES)).cast("int"))
+    files = max(1, ceil(rows.count() / (BATCHES * FILE_ROWS)))
+    batch = F.pmod(F.xxhash64(F.to_date(time)), F.lit(BATCHES))
+    file = batch * files + F.pmod(F.xxhash64(*rows.columns), F.lit(files))
     dealt = storage.new_folder(spark, f"files-{name}")
-    placed.repartition(FILES, "_place").write.partitionBy("_place").parquet(dealt)
-    return {"name": name, "type": "parquet", "path": dealt, "schema": placed.schema, "options": {"maxFilesPerTrigger": "1"}}
+    rows.repartitionById(BATCHES * files, file.cast("int")).write.parquet(dealt)
+    return {"name": name, "type": "parquet", "path": dealt, "schema": rows.schema, "options": {"maxFilesPerTrigger": str(files)}}
 
 
 def dealt(spark, folder, name, time):
     """Stream over the files of a table, in several micro-batches."""
-    return read_stream(spark, in_files(spark, folder, name, time)).drop("_place")
+    return read_stream(spark, in_files(spark, folder, name, time))
 
 
 def target_in(spark, folder, **settings):
@@ -176,7 +184,10 @@ def closed_windows(spark, folder):
     """,
 )
 def stream_join(spark, folder):
-    """Both tables come in files of no order. Orders are unique by key, so each line has at most one match."""
+    """Both tables come in files of no order. Orders are unique by key, so each line has at most one match.
+
+    State holds a year of either table, so it is kept on disk.
+    """
     orders = dealt(spark, folder, "orders", "o_orderdate").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = dealt(spark, folder, "lineitem", "l_shipdate").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"
@@ -186,7 +197,10 @@ def stream_join(spark, folder):
     many = late.Split(spark, f"{folder}/lines", "l_shipdate", "1 day")
     match = ("o_orderkey", "o_orderdate", "l_shipdate", "365 DAYS")
     stored = late.run(
-        [(one, orders), (many, lines)], lambda a, b: engagement.join_in_range(a, b, *match, "1 day"), target_in(spark, folder), SECONDS
+        [(one, orders), (many, lines)],
+        lambda a, b: engagement.join_in_range(a, b, *match, "1 day"),
+        target_in(spark, folder, rocksdb=True),
+        SECONDS,
     )
     stored = engagement.settled_join(stored, one, many, *match)
     times = {name: F.col(name).cast("timestamp_ntz") for name in ("o_orderdate", "l_shipdate")}

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway import storage
 from sluiceway.errors import SinkError
+from sluiceway.settings import session_settings
 from sluiceway.streaming import sinks
 
 
@@ -84,8 +85,10 @@ class Split:
         flagged = batch.withColumn("_late", late)
         latest = F.max(F.unix_millis(F.col(self.time).cast("timestamp")))
         staged = f"{self.folder}/_staged_{storage.unused()}"
-        flagged.observe(seen, latest.alias("latest")).write.partitionBy("_late").parquet(staged)
         spark = batch.sparkSession
+        # Both folders are open in every task, which else would sort all its rows by a flag.
+        with session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+            flagged.observe(seen, latest.alias("latest")).write.partitionBy("_late").parquet(staged)
         mark = spark.createDataFrame([(seen.get["latest"],)], "latest bigint")
         mark.coalesce(1).write.mode("overwrite").parquet(f"{self.marks}/_batch={batch_id}")
         published = f"{self.rows}/_batch={batch_id}"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway import storage
 from sluiceway.errors import SinkError, SpecError
+from sluiceway.settings import session_settings
 from sluiceway.streaming.changes import ChangeLog
 
 OUTPUT_MODES = ("append", "update")
@@ -63,7 +63,8 @@ def start(stream: DataFrame, target: StreamTarget) -> StreamingQuery:
         writer = writer.partitionBy(*target.partition_by).format("parquet").option("path", target.path)
     else:
         writer = writer.foreachBatch(_upsert_into(target))
-    with _settings(stream.sparkSession, _state_settings(target)):
+    # A query keeps the settings it was started with.
+    with session_settings(stream.sparkSession, _state_settings(target)):
         return writer.start()
 
 
@@ -83,22 +84,6 @@ def _state_settings(target: StreamTarget) -> dict[str, str]:
     return settings
 
 
-@contextmanager
-def _settings(spark: SparkSession, settings: dict[str, str]):
-    """A query keeps the settings it was started with, so the session has its own back at once."""
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def finish(query: StreamingQuery, seconds: int | None = None) -> int:
     """Waits for a query that ends by itself; with a limit, one that does not end in time is stopped.
 

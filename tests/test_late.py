@@ -111,3 +111,38 @@ def test_a_plain_stream_join_reports_what_it_loses(spark, tmp_path):
         read[name] = read_stream(spark, ordered(spark, frame, tmp_path / name, time, lambda days: days[::-1]))
     with pytest.raises(SinkError, match="later than the watermark"):
         sinks.run(engagement.join_in_range(read["orders"], read["lines"], *MATCH), target(tmp_path), SECONDS)
+
+
+def test_dealing_a_table_sorts_in_no_task_and_keeps_days_in_batches(spark, tmp_path, monkeypatch):
+    from catalogue import streams
+
+    frame = events(spark).selectExpr("CAST(hash(timestamp) AS bigint) AS event_id", "timestamp AS ts", "CAST(user_id AS bigint) AS user_id")
+    frame = frame.selectExpr("*", "'click' AS event_type", "1.5D AS value", "'{}' AS props")
+    frame.write.parquet(f"{tmp_path}/events.parquet")
+    for rows, files in ((200, 1), (10, 4)):
+        monkeypatch.setattr(streams, "FILE_ROWS", rows)
+        source = streams.in_files(spark, str(tmp_path), "events", "ts")
+        found = spark.read.parquet(source["path"])
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, frame.collect()))
+        assert source["options"] == {"maxFilesPerTrigger": str(files)} and "_place" not in found.columns
+        found = found.withColumn("file", F.input_file_name())
+        in_file = found.groupBy("file").count().collect()
+        of_day = found.groupBy(F.to_date("ts"), "file").count().groupBy("to_date(ts)").count().collect()
+        assert len(in_file) <= streams.BATCHES * files and max(r[1] for r in of_day) <= files
+        assert files == 1 or max(r[1] for r in in_file) < max(r[1] for r in frame.groupBy(F.to_date("ts")).count().collect())
+
+
+def test_rows_are_parted_without_a_sort(spark, tmp_path, monkeypatch):
+    written = []
+    split = late.Split(spark, f"{tmp_path}/split", "timestamp", "1 hour")
+    split.schema = events(spark).schema
+    split._take(events(spark).where("timestamp >= '2024-01-03'"), 0)
+    move = late.storage.move
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    monkeypatch.setattr(late.storage, "move", lambda *names: written.append(spark.conf.get(setting)) or move(*names))
+    monkeypatch.setattr(late, "session_settings", lambda session, values: written.append(values) or kept(session, values))
+    from sluiceway.settings import session_settings as kept
+
+    split._take(events(spark).repartition(2), 1)
+    assert written == [{setting: "2"}, "0"]
+    assert split.late().count() and split.late().count() + split.accepted_so_far().count() > 200
