@@ -320,3 +320,16 @@ def test_stored_frames_are_removed(spark):
     path = frame.inputFiles()[0].rpartition("/")[0]
     assert storage.exists(spark, path)
     assert storage.remove_stored(spark) == 1 and not storage.exists(spark, path) and storage.remove_stored(spark) == 0
+
+
+def test_many_ranges_are_sampled_by_few_rows_each(spark, monkeypatch):
+    """What the driver samples for ranges grows by few rows a range, and the numbers stay the plain ones."""
+    sampled = []
+    stored = storage.stored
+    monkeypatch.setattr(ranking.storage, "stored", lambda df: sampled.append(spark.conf.get(ranking.SAMPLE_SETTING)) or stored(df))
+    before = spark.conf.get(ranking.SAMPLE_SETTING)
+    monkeypatch.setattr(ranking, "SAMPLED", 400)
+    frame = spark.range(4_000).select("id", F.lit("hot").alias("k"), (F.col("id") * 7 % 4_000).alias("t"))
+    found = ranking.number_newest_first(frame, ["k"], "t", "id", "n", rows_per_task=100)
+    assert found.where("n = 4000 - t").count() == 4_000
+    assert sampled == [before, "10"] and spark.conf.get(ranking.SAMPLE_SETTING) == before
